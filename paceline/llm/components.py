@@ -1,0 +1,24 @@
+"""Connected components by minimum labels with pointer jumping; every round is cut by a table in the shared folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .shared import written
+
+
+def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """node, component (the smallest node that links reach) for every node of `links`."""
+    both = written(links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a != b").distinct(), "links")
+    edges = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("component")), "labels")
+    while True:
+        # the least label next to a node, then the label of that label
+        near = edges.join(labels, edges.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
+        step = labels.join(near, "node").select("node", F.col("component").alias("before"), F.least("component", "near").alias("component"))
+        jump = step.select(F.col("node").alias("component"), F.col("component").alias("far"))
+        after = written(step.join(jump, "component", "left").select("node", "before", F.coalesce("far", "component").alias("component")), "labels")
+        if after.where("before != component").isEmpty():
+            return after.select("node", "component")
+        labels = after.select("node", "component")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from .chat import op10_chat_tokens
 from .langid import op6_language_centroids
 from .media_jpeg import op8_jpeg_columns
+from .minhash import op7_near_duplicates
 from .pii import op5_personal_data
 
-QUERIES = {f.__name__: f for f in (op5_personal_data, op6_language_centroids, op8_jpeg_columns, op10_chat_tokens)}
+QUERIES = {f.__name__: f for f in (op5_personal_data, op6_language_centroids, op7_near_duplicates, op8_jpeg_columns, op10_chat_tokens)}
 
 ORACLES = {
     "op10_chat_tokens": """
