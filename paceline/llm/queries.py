@@ -7,8 +7,9 @@ from .langid import op6_language_centroids
 from .media_jpeg import op8_jpeg_columns
 from .minhash import op7_near_duplicates
 from .pii import op5_personal_data
+from .suffix_dedup import op3_repeated_bytes
 
-QUERIES = {f.__name__: f for f in (op5_personal_data, op6_language_centroids, op7_near_duplicates, op8_jpeg_columns, op10_chat_tokens)}
+QUERIES = {f.__name__: f for f in (op3_repeated_bytes, op5_personal_data, op6_language_centroids, op7_near_duplicates, op8_jpeg_columns, op10_chat_tokens)}
 
 ORACLES = {
     "op10_chat_tokens": """
