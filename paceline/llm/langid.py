@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import arrow_map
+from .shared import arrow_filter, arrow_map
 from .textarrays import groups
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -112,25 +112,36 @@ def fit(docs: DataFrame, learn: Column, settings: Settings = Settings(), text: s
     return Model(langs, idf, c.astype(np.float32), which, float(settings.reject_share * np.quantile(own, 0.01)))
 
 
+def predict(given: list[str | None], m: Model, settings: Settings) -> tuple[list[str], list[float], list[bool]]:
+    """Language, score and rejection of each text."""
+    texts = [t if t and m.langs and _LETTER.search(t) else None for t in given]
+    lang, score, gone = ["und"] * len(texts), [0.0] * len(texts), [True] * len(texts)
+    some = [i for i, t in enumerate(texts) if t is not None]
+    if some:
+        cos = vectors([texts[i].encode() for i in some], m.idf, settings.dims) @ m.centroids.T
+        best = cos.argmax(1)
+        for i, b, s in zip(some, best, cos.max(1), strict=True):
+            lang[i], score[i], gone[i] = m.langs[m.of[b]], float(min(max(s, 0.0), 1.0)), bool(s < m.floor)
+    return lang, score, gone
+
+
 def identify(docs: DataFrame, model: Model, settings: Settings = Settings(), text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, lang_pred, score (cosine to the nearest centroid, 0 to 1) and rejected, for every row."""
     at = docs.sparkSession.sparkContext.broadcast(model)  # dims x (languages x clusters) floats at most
 
     def of_batch(cols: dict[str, list]) -> dict[str, list]:
-        m = at.value
-        texts = [t if t and m.langs and _LETTER.search(t) else None for t in cols["text"]]
-        lang, score, gone = ["und"] * len(texts), [0.0] * len(texts), [True] * len(texts)
-        some = [i for i, t in enumerate(texts) if t is not None]
-        if some:
-            cos = vectors([texts[i].encode() for i in some], m.idf, settings.dims) @ m.centroids.T
-            best = cos.argmax(1)
-            for i, b, s in zip(some, best, cos.max(1), strict=True):
-                lang[i], score[i], gone[i] = m.langs[m.of[b]], float(min(max(s, 0.0), 1.0)), bool(s < m.floor)
+        lang, score, gone = predict(cols["text"], at.value, settings)
         return {"doc_id": cols["doc_id"], "lang_pred": lang, "score": score, "rejected": gone}
 
     return arrow_map(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), "doc_id long, lang_pred string, score double, rejected boolean", of_batch, 128)
 
 
+def identified(docs: DataFrame, model: Model, settings: Settings = Settings(), text: str = "text") -> DataFrame:
+    """The rows whose text isn't rejected, with all their columns."""
+    at = docs.sparkSession.sparkContext.broadcast(model)
+    return arrow_filter(docs, [text], lambda cols: [not g for g in predict(cols[text], at.value, settings)[2]], 128)
+
+
 def remainder(key: str = "doc_id") -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % 3
 

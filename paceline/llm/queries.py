@@ -3,15 +3,24 @@
 from __future__ import annotations
 
 from .chat import op10_chat_tokens
+from .decontaminate import op1_string_tiling
 from .langid import op6_language_centroids
+from .line_dedup import OP9_SQL, op9_line_winnowing
 from .media_jpeg import op8_jpeg_columns
 from .minhash import op7_near_duplicates
+from .mixing import op2_temperature_mixture
 from .pii import op5_personal_data
+from .sharding import op4_bounded_ring
 from .suffix_dedup import op3_repeated_bytes
 
-QUERIES = {f.__name__: f for f in (op3_repeated_bytes, op5_personal_data, op6_language_centroids, op7_near_duplicates, op8_jpeg_columns, op10_chat_tokens)}
+_ALL = (
+    op1_string_tiling, op2_temperature_mixture, op3_repeated_bytes, op4_bounded_ring, op5_personal_data,
+    op6_language_centroids, op7_near_duplicates, op8_jpeg_columns, op9_line_winnowing, op10_chat_tokens,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLES = {
+    "op9_line_winnowing": OP9_SQL,
     "op10_chat_tokens": """
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

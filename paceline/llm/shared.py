@@ -50,3 +50,15 @@ def arrow_map(df: DataFrame, schema: str, of_batch: Callable[[dict[str, list]],
                 yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, out)
+
+
+def arrow_filter(df: DataFrame, columns: list[str], of_batch: Callable[[dict[str, list]], list[bool]], rows: int = 512) -> DataFrame:
+    """The rows, with all their columns, that `of_batch` keeps, judged by some columns of slices of at most `rows` rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                yield part.filter(pa.array(of_batch({n: part.column(part.schema.get_field_index(n)).to_pylist() for n in columns}), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
