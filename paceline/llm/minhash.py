@@ -159,12 +159,13 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
     """doc_id, n_shingles, component_id and kept, for every row."""
     signed = written(signatures(docs, settings, key, text), "signatures")
     held = signed.where("doc_id is not null and n_shingles > 0")
-    classes = held.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
-    member = written(signed.select("doc_id", "n_shingles", "h1", "h2").join(classes, ["h1", "h2"], "left").withColumn("rep", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("rep"))), "members")
+    classes = written(held.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "rep"), "classes")
+    member = written(signed.select("doc_id", "n_shingles", "h1", "h2").join(classes, ["h1", "h2"], "left").withColumn("rep", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("rep", "doc_id"))), "members")
     reps = member.where("doc_id = rep").select("doc_id", "h1", "h2").distinct()
     # a bucket's smallest id is the centre of its star
     banded = held.join(reps, ["doc_id", "h1", "h2"], "left_semi").select("doc_id", F.explode("bands").alias("bucket"))
     centres = banded.groupBy("bucket").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last")).where("centre < last").select("bucket", "centre")
+    centres = written(centres, "centres")
     stars = banded.join(centres, "bucket").where("doc_id != centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b"))
     candidates = components(stars)
     # blocks of each component, and their pairs
@@ -178,7 +179,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
         sets = [s.tobytes() for a, b in groups([len(t) for t in texts]) for s in shingle_sets(texts[a:b], settings.words)]
         return {"id": cols["node"], "component": cols["component"], "block": cols["block"], "blocks": cols["blocks"], "set": sets}
 
-    sets = arrow_map(own.join(dealt, "node").select("node", "component", "block", "blocks", "text"), "id long, component long, block int, blocks int, set binary", of_batch, 256)
+    sets = arrow_map(own.join(dealt.hint("merge"), "node").select("node", "component", "block", "blocks", "text"), "id long, component long, block int, blocks int, set binary", of_batch, 256)
     packed = sets.groupBy("component", "blocks", "block").agg(F.collect_list(F.struct("id", "set")).alias("members"))
     other = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("block"))))
     tasks = packed.select("component", "block", "members", other.alias("other"))
