@@ -70,7 +70,7 @@ def v_places(spark, sf_dir) -> DataFrame:
 
 def v_lattice(spark, sf_dir) -> DataFrame:
     """Nations as a 5 x 5 grid of streets."""
-    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("u"))
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("u"))
     right = n.where("u % 5 < 4").select("u", (F.col("u") + 1).alias("v"))
     down = n.where("u < 20").select("u", (F.col("u") + 5).alias("v"))
     return right.unionByName(down).select((F.col("u") * 100 + F.col("v")).alias("segment_id"), "u", "v", (100 + F.col("u") * 7 % 13).cast("double").alias("length_m"))
@@ -110,7 +110,7 @@ VIEW_SQL = {
   l_quantity * (1 + (l_partkey % 7 - 3) / 10) AS pred, CAST(l_suppkey % 5 AS INTEGER) AS fold, l_returnflag, l_linestatus FROM lineitem""",
     "v_sites": "SELECT s_suppkey AS id, CAST(s_suppkey * 37 % 1000 AS DOUBLE) AS x, CAST(s_suppkey * 91 % 1000 AS DOUBLE) AS y FROM supplier",
     "v_places": "SELECT c_custkey AS id, CAST(c_custkey * 37 % 1000 AS DOUBLE) AS x, CAST(c_custkey * 91 % 1000 AS DOUBLE) AS y FROM customer",
-    "v_lattice": """SELECT u * 100 + v AS segment_id, u, v, CAST(100 + u * 7 % 13 AS DOUBLE) AS length_m FROM (
+    "v_lattice": """SELECT CAST(u * 100 + v AS BIGINT) AS segment_id, CAST(u AS BIGINT) AS u, CAST(v AS BIGINT) AS v, CAST(100 + u * 7 % 13 AS DOUBLE) AS length_m FROM (
   SELECT n_nationkey AS u, n_nationkey + 1 AS v FROM nation WHERE n_nationkey % 5 < 4 UNION ALL SELECT n_nationkey, n_nationkey + 5 FROM nation WHERE n_nationkey < 20)""",
     "v_years": "SELECT CAST(c_nationkey AS INTEGER) AS property, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey",
     "v_events": """SELECT o_orderkey AS event_id, 'venue' || CAST(o_custkey % 4 AS VARCHAR) AS venue,
