@@ -359,11 +359,11 @@ def location_splits(spark, sf):
 
 
 @query(
-    "SELECT v.row_id, CASE WHEN v.fold = 2 THEN 'test' ELSE 'train' END AS part FROM v_scored v WHERE v.fold = 2 OR v.location_id NOT IN (SELECT b.id FROM v_sites a JOIN v_sites b ON a.id % 5 = 2 AND b.id % 5 <> 2 AND sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) < 75)"
+    "SELECT v.row_id, CASE WHEN v.fold = 2 THEN 'test' ELSE 'train' END AS part FROM v_scored v WHERE v.fold = 2 OR v.location_id NOT IN (SELECT b.id FROM v_sites a JOIN v_sites b ON a.id % 5 = 2 AND b.id % 5 <> 2 AND sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) < 90)"
 )
 def leak_safe_fold(spark, sf):
     sites = v_sites(spark, sf).withColumn("fold", (F.col("id") % 5).cast("int"))
-    near = spatial.fold_neighbours(sites, 75.0)
+    near = spatial.fold_neighbours(sites, 90.0)
     rows = v_scored(spark, sf).drop("fold")
     folds = sites.select(F.col("id").cast("int").alias("location_id"), "fold")
     return splits.fold_rows(rows, folds, near, "location_id", 2).select("row_id", "part")
