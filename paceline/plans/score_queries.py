@@ -164,8 +164,8 @@ def _r7(df):
 def _score_sql(source: str, by: str) -> str:
     """Scores of `source` by a column, from their definitions."""
     return f"""SELECT a.*, b.sensor_rank_corr, b.sensor_wape_median, b.sensor_wape_worst, b.n_sensors FROM (SELECT {by}, {_SCORE}, count(*) AS n_rows FROM {source} GROUP BY {by}) a JOIN (
-  SELECT {by}, round(corr(ry, rp), 7) AS sensor_rank_corr, round(quantile_cont(w, 0.5), 7) AS sensor_wape_median, round(max(w), 7) AS sensor_wape_worst, count(*) AS n_sensors FROM (
-    SELECT {by}, w, rank() OVER (PARTITION BY {by} ORDER BY my) + (count(*) OVER (PARTITION BY {by}, my) - 1) / 2 AS ry, rank() OVER (PARTITION BY {by} ORDER BY mp) + (count(*) OVER (PARTITION BY {by}, mp) - 1) / 2 AS rp FROM (
+  SELECT {by}, CASE WHEN count(*) >= 3 AND count(DISTINCT my) > 1 AND count(DISTINCT mp) > 1 THEN round(corr(ry, rp), 7) END AS sensor_rank_corr, round(quantile_cont(w, 0.5), 7) AS sensor_wape_median, round(max(w), 7) AS sensor_wape_worst, count(*) AS n_sensors FROM (
+    SELECT {by}, w, my, mp, rank() OVER (PARTITION BY {by} ORDER BY my) + (count(*) OVER (PARTITION BY {by}, my) - 1) / 2 AS ry, rank() OVER (PARTITION BY {by} ORDER BY mp) + (count(*) OVER (PARTITION BY {by}, mp) - 1) / 2 AS rp FROM (
       SELECT {by}, location_id, sum(y) / count(*) AS my, round(sum(pred) / count(*), 9) AS mp, CASE WHEN sum(y) > 0 THEN sum(abs(pred - y)) / sum(y) END AS w FROM {source} GROUP BY {by}, location_id)) GROUP BY {by}) b USING ({by})"""
 
 

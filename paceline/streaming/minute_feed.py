@@ -21,7 +21,7 @@ def merge_into(archive: str, polls: DataFrame) -> int:
     """Merge rows into their days and return how many days changed.
 
     A day is rewritten as a whole, in a folder of its own that replaces the old one only when it is complete, so a
-    batch that is run again changes nothing. Days without new rows aren't touched.
+    batch that is run again changes nothing. Days without new rows, or earlier polls of held ones, aren't touched.
     """
     spark = polls.sparkSession
     polls = polls.persist()
@@ -32,9 +32,8 @@ def merge_into(archive: str, polls: DataFrame) -> int:
         except AnalysisException:
             held = spark.createDataFrame([], MINUTE_SCHEMA)
         old = held.join(F.broadcast(days), "sensing_date", "left_semi").select(*held.columns)  # a poll has a day or two
-        names = [c for c in held.columns if c != "polled_at"]
         merged = merge_polls(old, polls.select(*held.columns))
-        fresh = polls.select(*names).distinct().exceptAll(old.select(*names).distinct()).select("sensing_date").distinct()
+        fresh = merged.select(*held.columns).exceptAll(old.distinct()).select("sensing_date").distinct()
         changed = [r[0] for r in fresh.limit(10_000).collect()]
         if changed:
             todo = merged.where(F.col("sensing_date").isin(changed))
