@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from ..operators.graph import components
 from .shared import arrow_map, written
 from .textarrays import groups, mix, shingle_sets
 

@@ -1,45 +1,25 @@
-"""Helpers that several operators use: where to write cut lineage, Arrow mapping and reading of tables."""
+"""Helpers that several operators use: Arrow mapping and reading of tables, and where cut lineage is written."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..lineage import shared_folder, written
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share. A local one is made only where the session names none, as in tests."""
-    held = spark.conf.get("spark.checkpoint.dir", None)
-    if not held:
-        at = spark.sparkContext._jsc.sc().getCheckpointDir()
-        held = at.get() if at.isDefined() else None
-    if not held:
-        held = tempfile.mkdtemp(prefix="paceline-")
-        spark.sparkContext.setCheckpointDir(held)
-    return held
+__all__ = ["arrow_filter", "arrow_map", "shared_folder", "table", "written"]
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The same rows read back from a table in the shared folder, so that lost executors only lose reads."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def arrow_map(df: DataFrame, schema: str, of_batch: Callable[[dict[str, list]], Iterator[dict[str, list]] | dict[str, list]], rows: int = 512) -> DataFrame:
     """Apply `of_batch` to slices of at most `rows` rows; it takes and returns columns as lists."""
     out = df.sparkSession.createDataFrame([], schema).schema
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -108,6 +108,8 @@ def _split(column: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """Order by the column, and (value, from, to) of each value."""
     order = np.argsort(column, kind="stable")
     v = column[order]
+    if not len(v):
+        return order, []
     at = np.flatnonzero(np.diff(v, prepend=-1))
     return order, list(zip(v[at].tolist(), at.tolist(), [*at[1:].tolist(), len(v)], strict=True))
 
