@@ -53,14 +53,23 @@ def history_row(df: DataFrame, run_at: str, sensor: str, ts: str, value: str) ->
     return df.agg(F.lit(run_at).alias("run_at"), F.count("*").alias("n_rows"), F.count_distinct(sensor).alias("n_sensors"), F.min(ts).alias("first_hour"), F.max(ts).alias("last_hour"), F.round(F.avg(value), 4).alias("mean_count"))
 
 
-def reference_quantiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Of each column its null share, quantiles, number of values and decile edges (unique, ascending)."""
+def long_values(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
+    """A row for each column's value: column_name and v."""
     each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns])).alias("_s")
-    deciles = [i / 10 for i in range(11)]
-    return df.select(each).select("_s.*").groupBy("column_name").agg(
-        F.avg(F.col("v").isNull().cast("int")).alias("null_share"), F.percentile("v", F.array(*[F.lit(q) for q in QUANTILES])).alias("quantiles"),
-        F.count_distinct("v").alias("n_distinct"), F.array_sort(F.array_distinct(F.percentile("v", F.array(*[F.lit(q) for q in deciles])))).alias("edges"),
-    )
+    return df.select(*keep, each).select(*keep, "_s.*")
+
+
+def reference_quantiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Of each column its null share, quantiles, number of values and decile edges (unique, ascending).
+
+    All quantiles come from one exact percentile, which holds an entry for each distinct value of a column.
+    """
+    asked = [*QUANTILES, *(i / 10 for i in range(11))]
+    per = long_values(df, columns).groupBy("column_name").agg(
+        F.avg(F.col("v").isNull().cast("int")).alias("null_share"), F.percentile("v", F.array(*[F.lit(q) for q in asked])).alias("_q"), F.count_distinct("v").alias("n_distinct")
+    )
+    n = len(QUANTILES)
+    return per.select("column_name", "null_share", F.slice("_q", 1, n).alias("quantiles"), "n_distinct", F.array_sort(F.array_distinct(F.slice("_q", n + 1, 11))).alias("edges"))
 
 
 def bin_number(value: Column, edges: Column) -> Column:
@@ -69,28 +78,29 @@ def bin_number(value: Column, edges: Column) -> Column:
     return F.size(F.filter(inner, lambda e: e <= value))
 
 
-def shares(df: DataFrame, columns: Sequence[str], reference: DataFrame) -> DataFrame:
+def shares(values: DataFrame, reference: DataFrame, *by: str) -> DataFrame:
     """Share of each column's values in each bin of its reference: a value of few, or a decile bin of many."""
-    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns])).alias("_s")
-    edges = reference.select("column_name", "n_distinct", "edges")
-    rows = df.select(each).select("_s.*").where("v is not null").join(F.broadcast(edges), "column_name")  # a row for each column
+    rows = values.where("v is not null").join(F.broadcast(reference.select("column_name", "n_distinct", "edges")), "column_name")  # a row for each column
     cell = F.when(F.col("n_distinct") <= MAX_CATEGORIES, F.col("v")).otherwise(bin_number(F.col("v"), F.col("edges")).cast("double"))
-    per = rows.groupBy("column_name", cell.alias("cell")).agg(F.count("*").alias("_n"))
-    return per.select("column_name", "cell", (F.col("_n") / F.sum("_n").over(Window.partitionBy("column_name"))).alias("share"))
+    per = rows.groupBy(*by, "column_name", cell.alias("cell")).agg(F.count("*").alias("_n"))
+    return per.select(*by, "column_name", "cell", (F.col("_n") / F.sum("_n").over(Window.partitionBy(*by, "column_name"))).alias("share"))
 
 
-def psi(expected: DataFrame, actual: DataFrame, floor: float = 1e-4) -> DataFrame:
-    """Population stability index of each column. Values the reference never saw are one bin of their own."""
-    e, a = expected.withColumnRenamed("share", "e"), actual.withColumnRenamed("share", "a")
-    both = e.join(a, ["column_name", "cell"], "full")
+def psi(both: DataFrame, floor: float = 1e-4) -> DataFrame:
+    """Population stability index of each column, from shares with is_new. Values the reference never saw are one bin of their own."""
+    e, a = F.max(F.when(~F.col("is_new"), F.col("share"))), F.max(F.when(F.col("is_new"), F.col("share")))
+    per = both.groupBy("column_name", "cell").agg(e.alias("e"), a.alias("a"))
     known = F.col("e").isNotNull()
-    merged = both.groupBy("column_name", known.alias("known"), F.when(known, F.col("cell")).alias("cell")).agg(F.coalesce(F.max("e"), F.lit(0.0)).alias("e"), F.coalesce(F.sum("a"), F.lit(0.0)).alias("a"))
+    merged = per.groupBy("column_name", known.alias("known"), F.when(known, F.col("cell")).alias("cell")).agg(F.coalesce(F.max("e"), F.lit(0.0)).alias("e"), F.coalesce(F.sum("a"), F.lit(0.0)).alias("a"))
     x, y = F.greatest("e", F.lit(floor)), F.greatest("a", F.lit(floor))
     return merged.groupBy("column_name").agg(F.sum((y - x) * F.ln(y / x)).alias("psi"))
 
 
 def drift(reference_rows: DataFrame, rows: DataFrame, columns: Sequence[str], warn: float = 0.25) -> DataFrame:
-    """PSI of each column of `rows` against the distribution of `reference_rows`, and whether it warns."""
+    """PSI of each column of `rows` against the distribution of `reference_rows`, and whether it warns.
+
+    Both sets are binned in one pass, so the reference distribution is computed once.
+    """
     ref = reference_quantiles(reference_rows, columns)
-    out = psi(shares(reference_rows, columns, ref), shares(rows, columns, ref))
-    return out.withColumn("drifted", F.col("psi") > warn)
+    both = long_values(reference_rows.withColumn("is_new", F.lit(False)), columns, "is_new").unionByName(long_values(rows.withColumn("is_new", F.lit(True)), columns, "is_new"))
+    return psi(shares(both, ref, "is_new")).withColumn("drifted", F.col("psi") > warn)
