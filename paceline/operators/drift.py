@@ -62,12 +62,12 @@ def long_values(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
 def reference_quantiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Of each column its null share, quantiles, number of values and decile edges (unique, ascending).
 
-    All quantiles come from one exact percentile, which holds an entry for each distinct value of a column.
+    Values are counted first, so what the exact percentile sees is each distinct value once.
     """
     asked = [*QUANTILES, *(i / 10 for i in range(11))]
-    per = long_values(df, columns).groupBy("column_name").agg(
-        F.avg(F.col("v").isNull().cast("int")).alias("null_share"), F.percentile("v", F.array(*[F.lit(q) for q in asked])).alias("_q"), F.count_distinct("v").alias("n_distinct")
-    )
+    counted = long_values(df, columns).groupBy("column_name", "v").agg(F.count("*").alias("n"))
+    null = F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)) / F.sum("n")
+    per = counted.groupBy("column_name").agg(null.alias("null_share"), F.percentile("v", F.array(*[F.lit(q) for q in asked]), F.col("n")).alias("_q"), F.count("v").alias("n_distinct"))
     n = len(QUANTILES)
     return per.select("column_name", "null_share", F.slice("_q", 1, n).alias("quantiles"), "n_distinct", F.array_sort(F.array_distinct(F.slice("_q", n + 1, 11))).alias("edges"))
 
