@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import opening_hours
-from ..operators import connections, frame, graph, routes, surroundings
+from ..operators import connections, frame, graph, holdout, metrics, places, routes, surroundings
 from .network_queries import _HOURS, _RASTER, _r6, _raster
 from .views import sql, v_hourly, v_lattice, v_places, v_scored, v_sites
 
@@ -232,3 +232,85 @@ def separate_roads(spark, sf):
 @query("SELECT location_id, count(*) AS n_rows FROM v_scored GROUP BY 1")
 def rows_by_sensor(spark, sf):
     return v_scored(spark, sf).groupBy("location_id").agg(F.count("*").alias("n_rows"))
+
+
+_HELD = {"north": [1, 2, 3], "south": [4, 5]}
+
+
+@query(
+    """SELECT holdout, period, k, round(avg(l), 7) AS log_mae, round(avg(w), 7) AS wape, count(*) AS n_draws FROM (SELECT s.holdout, s.k, s.d, period, avg(abs(ln(1 + pred * scale) - ln(1 + y))) AS l, sum(abs(pred * scale - y)) / sum(y) AS w
+  FROM scales s JOIN r ON r.holdout = s.holdout AND (s.known IS NULL OR s.known <> r.location_id) GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3""",
+    ids="SELECT * FROM (VALUES ('north', 1), ('north', 2), ('north', 3), ('south', 4), ('south', 5)) AS t(holdout, sensor)",
+    r="SELECT holdout, location_id, y, pred, 'all' AS period FROM v_scored JOIN ids ON sensor = location_id UNION ALL SELECT holdout, location_id, y, pred, 'late' FROM v_scored JOIN ids ON sensor = location_id WHERE ts_utc >= TIMESTAMP '1998-01-01'",
+    scales="""SELECT DISTINCT holdout, 0 AS k, 0 AS d, CAST(NULL AS INTEGER) AS known, 1.0::DOUBLE AS scale FROM ids UNION ALL SELECT holdout, 1, sensor, sensor, (SELECT sum(y) / sum(pred) FROM v_scored WHERE location_id = sensor) FROM ids""",
+)
+def holdout_scores(spark, sf):
+    periods = {"all": F.lit(True), "late": F.col("ts_utc") >= F.lit("1998-01-01").cast("timestamp_ntz")}
+    out = holdout.holdout_scores(v_scored(spark, sf), _HELD, "location_id", "y", "pred", periods, (0, 1))
+    return out.withColumns({c: F.round(c, 7) for c in ("log_mae", "wape")})
+
+
+_TWO = "SELECT y, pred, y * 0.7 AS base, ts_utc FROM v_scored"
+
+
+@query(
+    """SELECT period, round(l, 7) AS log_mae, round(b, 7) AS baseline_log_mae, n AS n_rows, round(1 - l / b, 7) AS gain FROM (SELECT period, avg(abs(ln(1 + pred) - ln(1 + y))) AS l, avg(abs(ln(1 + base) - ln(1 + y))) AS b, count(*) AS n
+  FROM (SELECT *, 'all' AS period FROM two UNION ALL SELECT *, 'recent' FROM two WHERE ts_utc >= TIMESTAMP '1999-06-01') GROUP BY 1)""",
+    two=_TWO,
+)
+def compare_periods(spark, sf):
+    rows = v_scored(spark, sf).withColumn("base", F.col("y") * 0.7)
+    out = holdout.compare_periods(rows, "ts_utc", "y", "pred", "base", {"all": None, "recent": "1999-06-01"})
+    return out.withColumns({c: F.round(c, 7) for c in ("log_mae", "baseline_log_mae", "gain")})
+
+
+@query("SELECT CAST(min(ts_utc) AS DATE) AS first_day, CAST(max(ts_utc) AS DATE) AS last_day, count(DISTINCT location_id) FILTER (WHERE fold > 0) AS n_trained, count(DISTINCT location_id) FILTER (WHERE fold = 0) AS n_hidden FROM v_scored")
+def data_facts(spark, sf):
+    return holdout.data_facts(v_scored(spark, sf), "location_id", "ts_utc", F.col("fold") == 0)
+
+
+@query("SELECT l_returnflag, trees, round(cost, 6) AS cost FROM (SELECT l_returnflag, 0 AS trees, avg(greatest(0.5 * (y - 20), -0.5 * (y - 20))) AS cost FROM v_scored GROUP BY 1 UNION ALL SELECT l_returnflag, 10, avg(greatest(0.5 * (y - pred), -0.5 * (y - pred))) FROM v_scored GROUP BY 1)")
+def cost_curve(spark, sf):
+    rows = v_scored(spark, sf).withColumn("start", F.lit(20.0))
+    return _r6(holdout.cost_curve(rows, "l_returnflag", "y", {0: "start", 10: "pred"}, lambda y, p: metrics.pinball(y, p, 0.5)))
+
+
+@query("SELECT l_linestatus AS setting, round(avg(m), 7) AS log_mae FROM (SELECT l_linestatus, fold, avg(abs(ln(1 + pred) - ln(1 + y))) AS m FROM v_scored GROUP BY 1, 2) GROUP BY 1 ORDER BY avg(m), 1 LIMIT 1")
+def best_setting(spark, sf):
+    scores = v_scored(spark, sf).groupBy(F.col("l_linestatus").alias("setting"), "fold").agg(metrics.log_mae("y", "pred").alias("log_mae"))
+    return holdout.best_setting(scores, "setting", "log_mae").withColumn("log_mae", F.round("log_mae", 7))
+
+
+_POINTS = [
+    (1, {"entrance": "main"}), (2, {"entrance": "emergency"}), (3, {"railway": "subway_entrance", "entrance": "exit"}), (4, {"amenity": "cafe", "shop": "books"}), (5, {"shop": "books"}), (6, {"highway": "bus_stop", "name": "New Town Hall"}),
+    (7, {"railway": "tram_stop", "highway": "bus_stop"}), (8, {"name": "nothing"}),
+]
+
+
+def _tagged(spark):
+    return spark.createDataFrame(_POINTS, "id int, tags map<string, string>")
+
+
+@query("SELECT * FROM (VALUES (1, 'building'), (3, 'station')) AS t(id, kind)")
+def building_entrances(spark, sf):
+    return places.entrances(_tagged(spark)).select("id", "kind")
+
+
+@query("SELECT * FROM (VALUES (4, true, true), (5, false, true)) AS t(id, is_food, is_shop)")
+def poi_categories(spark, sf):
+    return places.categories(_tagged(spark), {"food": ["amenity=cafe", "amenity=restaurant"], "shop": ["shop=*"]}).drop("tags")
+
+
+@query("SELECT * FROM (VALUES (6, 'bus', true), (7, 'tram', false)) AS t(id, mode, is_recent)")
+def transit_modes(spark, sf):
+    return places.modes(_tagged(spark), {"tram": ["railway=tram_stop"], "bus": ["highway=bus_stop"]}, ["Town Hall"]).drop("tags")
+
+
+@query("SELECT p.id, coalesce(n.id, -1) AS node FROM v_places p LEFT JOIN (SELECT p.id AS e, s.id, row_number() OVER (PARTITION BY p.id ORDER BY sqrt((p.x - s.x) ** 2 + (p.y - s.y) ** 2), s.id) AS r FROM v_places p JOIN v_sites s ON sqrt((p.x - s.x) ** 2 + (p.y - s.y) ** 2) <= 40) n ON e = p.id AND r = 1")
+def snap_to_nodes(spark, sf):
+    return places.snapped(v_places(spark, sf), v_sites(spark, sf), 40.0).select("id", "node")
+
+
+@query("SELECT id FROM v_places p WHERE EXISTS (SELECT 1 FROM v_sites s WHERE sqrt((p.x - s.x) ** 2 + (p.y - s.y) ** 2) <= 35)")
+def feature_mask(spark, sf):
+    return places.in_mask(v_places(spark, sf), v_sites(spark, sf), 35.0).select("id")

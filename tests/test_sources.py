@@ -9,7 +9,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from paceline.sources import files
+from paceline.sources import files, store
 from paceline.streaming import minute_feed
 
 
@@ -128,3 +128,26 @@ def test_pages(spark):
     assert [tuple(r) for r in got] == [(1, "x", "A"), (1, "y", "B")]
     assert zlib.crc32(b"") == 0
     assert df.select(F.lit(1)).count() == 2
+
+
+def test_conditional_writes(tmp_path):
+    s = store.LocalStore(str(tmp_path / "s"))
+    assert store.update(s, "a", lambda held: (held or b"") + b"1")
+    _, token = s.read("a")
+    s.write("a", b"12", token)
+    with pytest.raises(store.Conflict):
+        s.write("a", b"13", token)
+    assert s.read("a")[0] == b"12"
+    assert not store.update(s, "a", lambda held: held)
+    calls = []
+
+    def change(held):
+        calls.append(held)
+        if len(calls) == 1:
+            s.write("a", b"other", s.token("a"))
+        return (held or b"") + b"!"
+
+    assert store.update(s, "a", change)
+    assert s.read("a")[0] == b"other!"
+    assert store.sync(s, str(tmp_path / "to")) == ["a"]
+    assert store.sync(s, str(tmp_path / "to")) == []
