@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import oracles
 from .chat import op10_chat_tokens
 from .decontaminate import op1_string_tiling
 from .langid import op6_language_centroids
@@ -20,22 +21,8 @@ _ALL = (
 QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLES = {
+    "op3_repeated_bytes": oracles.REPEATED_BYTES,
+    "op7_near_duplicates": oracles.NEAR_DUPLICATES,
     "op9_line_winnowing": OP9_SQL,
-    "op10_chat_tokens": """
-WITH t AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
-  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
-), e AS (
-  SELECT *, regexp_replace(text, '<(\\\\*)\\|', '<\\\\\\1|', 'g') AS escaped,
-    replace(replace(regexp_replace(role, '<(\\\\*)\\|', '<\\\\\\1|', 'g'), '\\', '\\\\'), chr(10), '\\n') AS head
-  FROM t
-)
-SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
-  CAST(sum(length('<|im_start|>') + length(head) + 1 + length(escaped) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
-FROM e GROUP BY conv_id
-""",
+    "op10_chat_tokens": oracles.CHAT_TOKENS,
 }
