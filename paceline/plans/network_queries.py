@@ -265,7 +265,7 @@ def tagged(spark):
 
 
 @query(
-    """SELECT * FROM (VALUES (1, true, NULL, NULL, 9.0, 'default', false), (2, false, NULL, NULL, 9.0, 'default', false), (3, true, NULL, NULL, 9.0, 'default', true), (4, false, NULL, NULL, 9.0, 'default', false), (5, false, NULL, NULL, 9.0, 'default', false),
+    """SELECT id, walkable, sidewalk, CAST(width AS DOUBLE) AS width, CAST(height AS DOUBLE) AS height, height_from, matched FROM (VALUES (1, true, NULL, NULL, 9.0, 'default', false), (2, false, NULL, NULL, 9.0, 'default', false), (3, true, NULL, NULL, 9.0, 'default', true), (4, false, NULL, NULL, 9.0, 'default', false), (5, false, NULL, NULL, 9.0, 'default', false),
   (6, true, NULL, NULL, 9.0, 'default', false), (7, false, NULL, NULL, 9.0, 'default', false), (8, false, NULL, NULL, 9.0, 'default', false), (9, false, NULL, NULL, 9.0, 'default', false), (10, true, 'both', 3.5, 12.0, 'height', true),
   (11, true, 'left', NULL, 9.0, 'default', false), (12, true, 'both', NULL, 12.0, 'levels', false), (13, true, 'separate', NULL, 9.0, 'default', false), (14, true, 'no', NULL, 9.0, 'default', false), (15, false, 'both', NULL, 9.0, 'default', false)) AS t(id, walkable, sidewalk, width, height, height_from, matched)"""
 )
@@ -273,7 +273,7 @@ def tag_rules(spark, sf):
     t = F.col("tags")
     height, source = segments.building_height(t)
     return tagged(spark).select(
-        "id", segments.is_walkable(t).alias("walkable"), segments.sidewalk_state(t).alias("sidewalk"), segments.metres(segments.tag(t, "width")).cast("decimal(10,1)").alias("width"), height.cast("decimal(10,1)").alias("height"),
+        "id", segments.is_walkable(t).alias("walkable"), segments.sidewalk_state(t).alias("sidewalk"), segments.metres(segments.tag(t, "width")).alias("width"), height.alias("height"),
         source.alias("height_from"), segments.matches(t, ["foot=designated", "lit=*"]).alias("matched"),
     )
 
