@@ -38,7 +38,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         # the least label next to a node, then the label of that label
         near = edges.join(labels, edges.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("component").alias("before"), F.least("component", "near").alias("component"))
+        step = written(labels.join(near, "node").select("node", F.col("component").alias("before"), F.least("component", "near").alias("component")), "labels")
         jump = step.select(F.col("node").alias("component"), F.col("component").alias("far"))
         after = written(step.join(jump, "component", "left").select("node", "before", F.coalesce("far", "component").alias("component")), "labels")
         if after.where("before != component").isEmpty():
