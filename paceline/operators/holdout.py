@@ -27,14 +27,14 @@ def holdout_scores(df: DataFrame, sensors: dict[str, Sequence[int]], sensor: str
     spark = df.sparkSession
     of = spark.createDataFrame([(h, s) for h, ids in sensors.items() for s in ids], f"holdout string, {sensor} int")
     held = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in periods.items()]))
-    rows = df.join(F.broadcast(of), sensor).select("holdout", sensor, y, p, F.explode(held).alias("period"))
-    sums = df.join(F.broadcast(of), sensor).groupBy("holdout", sensor).agg(F.sum(y).alias("_y"), F.sum(p).alias("_p"))
+    rows = df.join(of, sensor).select("holdout", sensor, y, p, F.explode(held).alias("period"))
+    sums = df.join(of, sensor).groupBy("holdout", sensor).agg(F.sum(y).alias("_y"), F.sum(p).alias("_p"))
     draws = [(h, k, d) for h, ids in sensors.items() for k in known for d, _ in enumerate(itertools.combinations(sorted(ids), k))]
     every = spark.createDataFrame(draws, "holdout string, k int, draw int")
     picked = spark.createDataFrame(combinations(sensors, known), f"holdout string, k int, draw int, {sensor} int")
     scale = every.join(picked.join(sums, ["holdout", sensor]), ["holdout", "k", "draw"], "left").groupBy("holdout", "k", "draw").agg(F.coalesce(F.try_divide(F.sum("_y"), F.sum("_p")), F.lit(1.0)).alias("scale"))
     chosen = picked.withColumn("_in", F.lit(True))
-    met = rows.join(F.broadcast(scale), "holdout").join(F.broadcast(chosen), ["holdout", "k", "draw", sensor], "left").where("_in is null").withColumn("_s", F.col(p) * F.col("scale"))
+    met = rows.join(scale, "holdout").join(chosen, ["holdout", "k", "draw", sensor], "left").where("_in is null").withColumn("_s", F.col(p) * F.col("scale"))
     each = met.groupBy("holdout", "period", "k", "draw").agg(log_mae(y, "_s").alias("log_mae"), wape(y, "_s").alias("wape"))
     return each.groupBy("holdout", "period", "k").agg(F.avg("log_mae").alias("log_mae"), F.avg("wape").alias("wape"), F.count("*").alias("n_draws"))
 

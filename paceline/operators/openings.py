@@ -13,7 +13,8 @@ def property_jumps(df: DataFrame, key: str, year: str, value: str | None, least:
     """
     what = F.count("*") if value is None else F.sum(value)
     per = df.groupBy(key, year).agg(what.cast("double").alias("_v"))
-    grid = df.select(key).distinct().crossJoin(F.broadcast(df.select(year).distinct()))  # years are few
+    years = df.agg(F.collect_set(year).alias("_years"))  # one row, of as many years as there are
+    grid = df.select(key).distinct().join(F.broadcast(years), F.lit(True)).select(key, F.explode("_years").alias(year))
     dense = grid.join(per, [key, year], "left").fillna(0.0, ["_v"])
     gain = F.col("_v") - F.lag("_v").over(Window.partitionBy(key).orderBy(year))
     return dense.withColumn("gain", gain).where(F.col("gain") >= least).select(key, year, "gain")

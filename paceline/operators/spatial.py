@@ -85,10 +85,10 @@ def fold_neighbours(points: DataFrame, radius: float) -> DataFrame:
 
 def tiles(spark, xmin: float, ymin: float, width: int, height: int, res: float, most: int) -> DataFrame:
     """Pieces of a raster extent of at most `most` pixels each way: offsets, sizes and corner."""
-    cols = spark.range(0, width, most).select(F.col("id").cast("int").alias("x_off"))
-    rows = spark.range(0, height, most).select(F.col("id").cast("int").alias("y_off"))
+    rows = F.explode(F.sequence(F.lit(0), F.lit(height - 1), F.lit(most)))
+    grid = spark.range(0, width, most).select(F.col("id").cast("int").alias("x_off"), rows.alias("y_off"))
     w, h = F.least(F.lit(most), F.lit(width) - F.col("x_off")), F.least(F.lit(most), F.lit(height) - F.col("y_off"))
-    return cols.crossJoin(rows).select("x_off", "y_off", w.alias("width"), h.alias("height"), (xmin + F.col("x_off") * res).alias("x"), (ymin + F.col("y_off") * res).alias("y"))
+    return grid.select("x_off", "y_off", w.alias("width"), h.alias("height"), (xmin + F.col("x_off") * res).alias("x"), (ymin + F.col("y_off") * res).alias("y"))
 
 
 def new_openings(jumps: DataFrame, sites: DataFrame, sensors: DataFrame, radius: float) -> DataFrame:

@@ -70,7 +70,7 @@ def fold_rows(rows: DataFrame, folds: DataFrame, near: DataFrame, key: str, fold
     own = rows.join(folds.select(key, "fold"), key)
     close = near.where(F.col("fold") == fold).select(F.col("neighbour").alias(key), F.lit(True).alias("_near"))
     part = F.when(F.col("fold") == fold, "test").when((F.col("fold") >= 0) & F.col("_near").isNull(), "train")
-    return own.join(F.broadcast(close), key, "left").withColumn("part", part).where("part is not null").drop("_near")
+    return own.join(close, key, "left").withColumn("part", part).where("part is not null").drop("_near")
 
 
 def sample_rows(rows: DataFrame, n: int, seed: int, keys: Sequence[str]) -> DataFrame:

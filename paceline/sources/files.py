@@ -76,6 +76,7 @@ def rows_of_pages(pages: DataFrame, html: str, pattern: str, groups: dict[str, i
 
 def games(pages: DataFrame, html: str, season: str) -> DataFrame:
     """Matches in a season's page: ISO date, local time and Melbourne's, attendance without commas, venue."""
+    # Fixed value: the format of these pages.
     pattern = (
         r"(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun) (\d\d-\w{3}-\d{4}) (\d{1,2}:\d\d [AP]M)(?: \((\d{1,2}:\d\d [AP]M)\))?"
         r"\s*(?:<b>Att: </b>([\d,]+))?\s*<b>Venue:</b>\s*<a[^>]*>([^<]+)</a>"

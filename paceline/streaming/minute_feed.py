@@ -31,7 +31,7 @@ def merge_into(archive: str, polls: DataFrame) -> int:
             held = spark.read.schema(MINUTE_SCHEMA).parquet(archive)
         except AnalysisException:
             held = spark.createDataFrame([], MINUTE_SCHEMA)
-        old = held.join(F.broadcast(days), "sensing_date", "left_semi").select(*held.columns)  # a poll has a day or two
+        old = held.join(days, "sensing_date", "left_semi").select(*held.columns)
         merged = merge_polls(old, polls.select(*held.columns))
         fresh = merged.select(*held.columns).exceptAll(old.distinct()).select("sensing_date").distinct()
         changed = [r[0] for r in fresh.limit(10_000).collect()]
