@@ -22,10 +22,14 @@ def summarize(df: DataFrame, dims: Sequence[str], sensor: str, value: str, outag
     """
     rows = long_slices(df, dims, [sensor, value, outage])
     kept = ~F.col(outage)
-    v = F.when(kept, F.col(value))
-    per = rows.groupBy("dimension", "group").agg(
-        F.count_distinct(F.when(kept, F.col(sensor))).alias("n_sensors"), F.count(F.when(kept, 1)).alias("n_rows"), F.sum(v).alias("pedestrians"), F.avg(v).alias("mean_count"),
-        F.percentile(v, F.lit(0.5)).alias("median_count"), F.percentile(v, F.lit(0.9)).alias("p90_count"), F.avg((v == 0).cast("int")).alias("zero_share"), F.avg(F.col(outage).cast("int")).alias("outage_share"),
+    # equal readings of a sensor are counted first, so that medians and distinct sensors see few rows
+    cells = rows.groupBy("dimension", "group", sensor, value, outage).agg(F.count("*").alias("_n"))
+    v, n = F.when(kept, F.col(value)), F.when(kept, F.col("_n")).otherwise(0)
+    known = F.when(F.col(value).isNotNull(), n).otherwise(0)
+    per = cells.groupBy("dimension", "group").agg(
+        F.count_distinct(F.when(kept, F.col(sensor))).alias("n_sensors"), F.sum(n).alias("n_rows"), F.sum(v * n).alias("pedestrians"), F.try_divide(F.sum(v * n), F.sum(known)).alias("mean_count"),
+        F.percentile(v, F.lit(0.5), known).alias("median_count"), F.percentile(v, F.lit(0.9), known).alias("p90_count"), F.try_divide(F.sum(F.when(v == 0, n).otherwise(0)), F.sum(known)).alias("zero_share"),
+        (F.sum(F.when(F.col(outage), F.col("_n")).otherwise(0)) / F.sum("_n")).alias("outage_share"),
     ).where("n_rows > 0")
     sensors = df.where(kept).agg(F.count_distinct(sensor).alias("_all"))
     whole = Window.partitionBy("dimension")  # a row for each group
@@ -44,7 +48,8 @@ def summarize(df: DataFrame, dims: Sequence[str], sensor: str, value: str, outag
 
 def crosstab(df: DataFrame, a: str, b: str, value: str) -> DataFrame:
     """Rows, median and share of all rows of each combination that occurs."""
-    per = df.groupBy(F.col(a).alias("group_a"), F.col(b).alias("group_b")).agg(F.count("*").alias("n_rows"), F.percentile(value, F.lit(0.5)).alias("median_count"))
+    cells = df.groupBy(F.col(a).alias("group_a"), F.col(b).alias("group_b"), value).agg(F.count("*").alias("_n"))
+    per = cells.groupBy("group_a", "group_b").agg(F.sum("_n").alias("n_rows"), F.percentile(value, F.lit(0.5), F.col("_n")).alias("median_count"))
     return per.withColumn("row_share", F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy()))
 
 
