@@ -46,6 +46,7 @@ class Settings:
     least_chunks: int = 64
     hot: int = 4096
     flush: int = 1_000_000
+    parts: int = 4
 
 
 def _unaligned(data: np.ndarray) -> np.ndarray:
@@ -309,11 +310,17 @@ def _resolve(s: Settings):
         many = np.zeros(len(key), bool)
         many[order] = (np.diff(np.append(np.flatnonzero(new), len(k))) > 1)[np.cumsum(new) - 1]
         rows = []
-        if (todo := np.flatnonzero(many | (low != high))).size:
-            context = np.repeat(todo, n[todo])
-            place = _spread(n[todo])
+        todo = np.flatnonzero(many | (low != high))
+        for part in range(s.parts):  # equal keys stay together; only a part's arrays are in memory
+            mine = todo[key[todo] % U(s.parts) == part]
+            if not len(mine):
+                continue
+            size = n[mine] + s.length - 1
+            piece = data[np.repeat(begin[mine], size) + _spread(size)]
+            context = np.repeat(mine, n[mine])
+            place = _spread(n[mine])
             least = low[context]
-            cls = refine(data, begin[context] + place, s.length)
+            cls = refine(piece, np.repeat(np.cumsum(size) - size, n[mine]) + place, s.length)
             met = np.flatnonzero(cls >= 0)
             order = met[np.argsort(cls[met], kind="stable")]
             if len(order):
@@ -349,10 +356,13 @@ def _cut(s: Settings, buckets: int):
         later = c.doc[seen] > least[verdict]
         seen, verdict = seen[later], verdict[later]
         a = c.at[seen] + place[verdict]
-        step = np.bincount(a, minlength=len(c.data) + 1) - np.bincount(a + n[verdict].astype(np.int64) - 1 + s.length, minlength=len(c.data) + 1)
-        gone = np.cumsum(step)[:-1] > 0
-        begins = gone & ~np.concatenate([[False], gone[:-1]])
-        removed, spans = (np.concatenate([[0], np.cumsum(v)]) for v in (gone, begins))
+        step = np.zeros(len(c.data) + 1, np.int32)
+        np.add.at(step, a, 1)
+        np.add.at(step, a + n[verdict].astype(np.int64) - 1 + s.length, -1)
+        gone = np.cumsum(step, out=step)[:-1] > 0
+        begins = gone.copy()
+        begins[1:] &= ~gone[:-1]
+        removed, spans = (np.concatenate([[0], np.cumsum(v, dtype=np.int32)]) for v in (gone, begins))
         i, j = c.start[:-1], c.start[1:] - 1
         kept = [c.data[x:y][~gone[x:y]].tobytes() for x, y in zip(i, j, strict=True)]
         return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip((c.ids, j - i, removed[j] - removed[i], spans[j] - spans[i], kept), arrow, strict=True)], schema=arrow)
