@@ -3,7 +3,7 @@
 A string of `length` bytes belongs to the bucket of one of its q-grams, the one with the least hash; equal strings
 share it. Four passes over packed rows, so that what is shuffled stays below the input's size:
 
-1. Every text's buckets are counted; those with one document only are done.
+1. Every text's buckets are counted; those with one document only are done. Copies of a whole text are found by digest.
 2. Documents meet the buckets they share with others, chunk by chunk. Neighbouring strings of a bucket go out as one
    context of bytes, equal contexts of a chunk once. A very common bucket is cut finer, to whole strings.
 3. Within a bucket, suffixes are refined by sorting on the bucket identifiers of later offsets: identifiers of 8 bytes
@@ -33,6 +33,9 @@ from .shared import written
 from .textarrays import U, groups, mix
 
 LAST = np.iinfo(np.int64).max
+#: Kinds of replies to chunks.
+COPIES, SHARED, VERDICT = 0, 1, 2
+REPLY = "chunk int, kind int, blob binary, copies array<bigint>"
 _LOW = U((1 << 40) - 1)
 
 
@@ -173,7 +176,7 @@ def _count(s: Settings, buckets: int):
 
 def _shared(s: Settings):
     """Pass 1, reduce side: chunk, blob of the buckets it shares with other documents; the top bit marks very common ones."""
-    arrow = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
+    arrow = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary()), ("copies", pa.list_(pa.int64()))])
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -187,18 +190,27 @@ def _shared(s: Settings):
         key, chunk = key[total > 1], chunk[total > 1].astype(np.int64)
         order, parts = _split(chunk)
         key = key[order]
-        rows = [(c, 1, np.unique(key[i:j]).tobytes()) for c, i, j in parts]
+        rows = [(c, SHARED, np.unique(key[i:j]).tobytes(), None) for c, i, j in parts]
         return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)], schema=arrow)
 
     return run
 
 
 class Contexts:
-    """A chunk's texts and the contexts of its shared strings, in one order however often this is computed."""
+    """A chunk's texts and the contexts of its shared strings, in one order however often this is computed.
 
-    def __init__(self, table: pa.Table, blobs: list[bytes], s: Settings, buckets: int):
+    Copies of a whole earlier text have nothing to send and nothing left; they stand as empty.
+    """
+
+    def __init__(self, table: pa.Table, replies: pa.Table, s: Settings, buckets: int):
+        kind, blob = replies.column("kind").to_pylist(), replies.column("blob").to_pylist()
+        blobs = [b for k, b in zip(kind, blob, strict=True) if k == SHARED]
+        copies = np.array([i for ids in replies.column("copies").to_pylist() for i in ids or ()], np.int64)
+        self.verdicts = [b for k, b in zip(kind, blob, strict=True) if k == VERDICT]
         texts = [t or b"" for t in table.column("text").to_pylist()]
-        self.ids = table.column("doc_id").to_pylist()
+        self.ids, self.sizes = table.column("doc_id").to_pylist(), np.array([len(t) for t in texts], np.int64)
+        self.copy = np.isin(table.column("row").to_numpy(), copies)
+        texts = [b"" if c else t for c, t in zip(self.copy, texts, strict=True)]
         docs = np.array([LAST if i is None else i for i in self.ids], np.int64)
         shared = np.sort(np.concatenate([np.frombuffer(b, np.uint64) for b in blobs]) if blobs else np.empty(0, np.uint64))
         hot = shared[np.searchsorted(shared, U(1 << 63)) :] & U((1 << 63) - 1)
@@ -249,7 +261,7 @@ def _send(s: Settings, buckets: int):
         zip_, rows = zstandard.ZstdCompressor(level=1), []
         if docs.num_rows:
             chunk = docs.column("chunk")[0].as_py()
-            c = Contexts(docs, replies.column("blob").to_pylist(), s, buckets)
+            c = Contexts(docs, replies, s, buckets)
             order, parts = _split(_bucket(c.key, buckets))
             for b, i, j in parts:
                 own = order[i:j]
@@ -292,7 +304,7 @@ def refine(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
 
 def _resolve(s: Settings):
     """Pass 3: chunk, blob of (context, first string, strings, smallest document) where something is to go."""
-    arrow = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
+    arrow = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary()), ("copies", pa.list_(pa.int64()))])
 
     def run(table: pa.Table) -> pa.Table:
         import zstandard
@@ -333,7 +345,7 @@ def _resolve(s: Settings):
             order, parts = _split(chunk[context[h]])
             for c, i, j in parts:
                 x, y = h[order[i:j]], t[order[i:j]]
-                rows.append((c, 2, _blob(own[context[x]].astype("<u4"), place[x].astype("<u1"), (y - x + 1).astype("<u1"), least[x].astype("<i8"))))
+                rows.append((c, VERDICT, _blob(own[context[x]].astype("<u4"), place[x].astype("<u1"), (y - x + 1).astype("<u1"), least[x].astype("<i8")), None))
         return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)], schema=arrow)
 
     return run
@@ -346,9 +358,8 @@ def _cut(s: Settings, buckets: int):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return arrow.empty_table()
-        kind, blobs = replies.column("kind").to_pylist(), replies.column("blob").to_pylist()
-        c = Contexts(docs, [b for k, b in zip(kind, blobs, strict=True) if k == 1], s, buckets)
-        which, place, n, least = _joined([b for k, b in zip(kind, blobs, strict=True) if k == 2], "<u4", "<u1", "<u1", "<i8")
+        c = Contexts(docs, replies, s, buckets)
+        which, place, n, least = _joined(c.verdicts, "<u4", "<u1", "<u1", "<i8")
         which = which.astype(np.int64)
         copies = c.bounds[which + 1] - c.bounds[which]
         seen = np.repeat(c.bounds[which], copies) + _spread(copies)
@@ -365,7 +376,8 @@ def _cut(s: Settings, buckets: int):
         removed, spans = (np.concatenate([[0], np.cumsum(v, dtype=np.int32)]) for v in (gone, begins))
         i, j = c.start[:-1], c.start[1:] - 1
         kept = [c.data[x:y][~gone[x:y]].tobytes() for x, y in zip(i, j, strict=True)]
-        return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip((c.ids, j - i, removed[j] - removed[i], spans[j] - spans[i], kept), arrow, strict=True)], schema=arrow)
+        n_removed, n_spans = np.where(c.copy, c.sizes, removed[j] - removed[i]), np.where(c.copy, 1, spans[j] - spans[i])
+        return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip((c.ids, c.sizes, n_removed, n_spans, kept), arrow, strict=True)], schema=arrow)
 
     return run
 
@@ -376,11 +388,16 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), key: str =
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(settings.least_chunks, -(-total // settings.chunk))
     buckets = 2 * chunks
-    own = own.select("doc_id", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"), "text")
+    own = own.withColumn("row", F.xxhash64("doc_id", "text")).withColumn("chunk", F.pmod("row", F.lit(chunks)).cast("int"))
+    # copies of whole texts, by a digest: all but those with the smallest id go
+    digests = own.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= settings.length)).select("doc_id", "row", "chunk", F.unhex(F.md5("text")).alias("digest"))
+    first = written(digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("digest", "first"), "first")
+    copies = digests.join(first, "digest").where("doc_id > first").groupBy("chunk").agg(F.collect_set("row").alias("copies"))
+    copies = copies.select("chunk", F.lit(COPIES).alias("kind"), F.lit(None).cast("binary").alias("blob"), "copies")
     counted = own.select("chunk", "text").mapInArrow(_count(settings, buckets), "bucket int, blob binary")
-    shared = written(counted.groupBy("bucket").applyInArrow(_shared(settings), "chunk int, kind int, blob binary"), "shared")
+    shared = written(counted.groupBy("bucket").applyInArrow(_shared(settings), REPLY).unionByName(copies), "shared")
     sent = own.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send(settings, buckets), "bucket int, chunk int, n int, blob binary, bytes binary")
-    verdicts = sent.groupBy("bucket").applyInArrow(_resolve(settings), "chunk int, kind int, blob binary")
+    verdicts = sent.groupBy("bucket").applyInArrow(_resolve(settings), REPLY)
     return own.groupBy("chunk").cogroup(shared.unionByName(verdicts).groupBy("chunk")).applyInArrow(_cut(settings, buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
