@@ -19,6 +19,7 @@ empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,15 +37,23 @@ U = np.uint64
 
 @dataclass(frozen=True)
 class Settings:
-    """`percent` is the least similarity; by default five-word shingles and 80."""
+    """`percent` is the least similarity; by default five-word shingles and 80.
+
+    There are as many bands as keep the chance that a pair at the least similarity shares none at `miss`: 32 of six
+    values for 85 percent, 50 for 80. Sets of up to `small` shingles get a permutation for each value.
+    """
 
     words: int = 5
     percent: int = 80
-    bands: int = 32
     rows: int = 6
-    small: int = 64
+    miss: float = 3e-7
+    small: int = 128
     block: int = 128
 
+    @property
+    def bands(self) -> int:
+        return max(1, math.ceil(math.log(self.miss) / math.log(1 - min(self.percent / 100, 0.999) ** self.rows)))
+
 
 def _permuted(s: np.ndarray, n: int) -> np.ndarray:
     seeds = mix(np.arange(1, n + 1, dtype=np.uint64))
