@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clock
@@ -55,8 +55,8 @@ def hour_status(m: DataFrame, hourly: DataFrame, sensors: DataFrame | None = Non
     own = hourly.select(key, "ts_utc", F.col(value).alias("count")).join(F.broadcast(span(m, hourly)), (F.col("ts_utc") >= F.col("_first")) & (F.col("ts_utc") < F.col("_last")))
     sums = m.groupBy(key, "ts_utc").agg(F.sum("total_of_directions").alias("_sum"))
     out = own.join(sums, [key, "ts_utc"], "left").withColumn("minute_sum", F.when((F.col("count") == 0) & F.col("_sum").isNull(), 0).otherwise(F.col("_sum")))
-    usable = sensors.select(key, "usable") if sensors is not None else own.select(key).distinct().withColumn("usable", F.lit(True))
-    out = out.join(usable, key, "left").withColumn("usable_sensor", F.coalesce("usable", F.lit(True)))
+    out = out.withColumn("usable", F.lit(True)) if sensors is None else out.join(sensors.select(key, "usable"), key, "left")
+    out = out.withColumn("usable_sensor", F.coalesce("usable", F.lit(True)))
     held = F.col("minute_sum").isNotNull()
     fits = held & (F.abs(F.col("minute_sum") - F.col("count")) <= F.greatest(s.tolerance * F.col("count"), F.lit(2.0)))
     out = out.withColumns({"in_archive": held, "adds_up": fits})
@@ -107,12 +107,13 @@ def coverage(status: DataFrame, dims: Sequence[str], s: Settings = Settings(), k
     """How much of each group of every dimension the archive and the profiles cover."""
     from .representation import long_slices
 
-    overall = status.agg(F.avg(F.col("kept").cast("int")).alias("_overall"))
     per = long_slices(status, dims, [key, "in_archive", "adds_up", "kept"]).groupBy("dimension", "group").agg(
-        F.count("*").alias("sensor_hours"), F.count_distinct(key).alias("sensors"), *[F.avg(F.col(c).cast("int")).alias(f"{c}_share") for c in ("in_archive", "adds_up", "kept")]
+        F.count("*").alias("sensor_hours"), F.count_distinct(key).alias("sensors"), *[F.avg(F.col(c).cast("int")).alias(f"{c}_share") for c in ("in_archive", "adds_up", "kept")], F.sum(F.col("kept").cast("int")).alias("_kept")
     )
-    out = per.join(F.broadcast(overall), F.lit(True)).withColumn("kept_ratio", F.when(F.col("_overall") > 0, F.col("kept_share") / F.col("_overall")))
-    return out.withColumn("under", F.coalesce((F.col("sensor_hours") >= s.min_hours) & (F.col("kept_ratio") < s.low_ratio), F.lit(False))).drop("_overall")
+    whole = Window.partitionBy("dimension")  # every row is in one group of each dimension, so a dimension's sums are all rows'
+    overall = F.sum("_kept").over(whole) / F.sum("sensor_hours").over(whole)
+    out = per.withColumn("_overall", overall).withColumn("kept_ratio", F.when(F.col("_overall") > 0, F.col("kept_share") / F.col("_overall")))
+    return out.withColumn("under", F.coalesce((F.col("sensor_hours") >= s.min_hours) & (F.col("kept_ratio") < s.low_ratio), F.lit(False))).drop("_overall", "_kept")
 
 
 def reconcile(m: DataFrame, hourly: DataFrame, tolerance: float = 0.05, key: str = "location_id", value: str = "pedestriancount") -> DataFrame:

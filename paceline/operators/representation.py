@@ -20,7 +20,8 @@ def summarize(df: DataFrame, dims: Sequence[str], sensor: str, value: str, outag
     Everything leaves outages out, but for outage_share. `reference` has dimension, group and weight: the ratio is
     the share among the groups that have a reference over the reference's own share.
     """
-    rows = long_slices(df, dims, [sensor, value, outage])
+    every = "_every"  # a dimension of one group: all rows
+    rows = long_slices(df.withColumn(every, F.lit(every)), [*dims, every], [sensor, value, outage])
     kept = ~F.col(outage)
     # equal readings of a sensor are counted first, so that medians and distinct sensors see few rows
     cells = rows.groupBy("dimension", "group", sensor, value, outage).agg(F.count("*").alias("_n"))
@@ -31,9 +32,9 @@ def summarize(df: DataFrame, dims: Sequence[str], sensor: str, value: str, outag
         F.percentile(v, F.lit(0.5), known).alias("median_count"), F.percentile(v, F.lit(0.9), known).alias("p90_count"), F.try_divide(F.sum(F.when(v == 0, n).otherwise(0)), F.sum(known)).alias("zero_share"),
         (F.sum(F.when(F.col(outage), F.col("_n")).otherwise(0)) / F.sum("_n")).alias("outage_share"),
     ).where("n_rows > 0")
-    sensors = df.where(kept).agg(F.count_distinct(sensor).alias("_all"))
     whole = Window.partitionBy("dimension")  # a row for each group
-    out = per.join(F.broadcast(sensors), F.lit(True)).withColumns({
+    everyone = F.max(F.when(F.col("dimension") == every, F.col("n_sensors"))).over(Window.partitionBy())
+    out = per.withColumn("_all", everyone).where(F.col("dimension") != every).withColumns({
         "row_share": F.col("n_rows") / F.sum("n_rows").over(whole), "sensor_share": F.col("n_sensors") / F.col("_all"),
         "pedestrian_share": F.try_divide(F.col("pedestrians"), F.sum("pedestrians").over(whole)),
     }).drop("_all")
