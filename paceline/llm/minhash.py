@@ -4,7 +4,8 @@
    empty bins borrow from others by optimal densification. Sets too small to fill bins use a permutation for each
    value instead; a range of sizes that is as wide as the threshold allows gets both, so no pair falls between.
 2. Equal sets are one class, whose smallest id stands for it. Bands of the values make bucket keys. Every bucket gives
-   star-shaped edges from its smallest id to the others, so candidate edges never outnumber bucket rows.
+   star-shaped edges from its smallest id to the others, so candidate edges never outnumber bucket rows; the centres of
+   one text are then joined to the smallest of them, so that it keeps one edge.
 3. Any two similar sets share a bucket, but for a chance of about 1e-6, hence a star and a component of candidate
    edges. Components are dealt in blocks of `block` sets; each pair of blocks is searched exactly, on full sets, by
    growing clusters from a centre over those not yet reached. So no link is lost that a centre itself doesn't have, and
@@ -176,7 +177,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
     centres = banded.groupBy("bucket").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last")).where("centre < last").select("bucket", "centre")
     centres = written(centres, "centres")
     stars = banded.join(centres, "bucket").where("doc_id != centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b"))
-    candidates = components(stars)
+    # a text hangs on the smallest of its centres only, and its other centres on that one too: connected as before, by
+    # as many edges as texts and a few between centres
+    hung = written(stars.groupBy("b").agg(F.min("a").alias("low"), F.collect_set("a").alias("every")), "stars")
+    between = hung.select(F.col("low").alias("a"), F.explode(F.array_remove("every", F.col("low"))).alias("b")).distinct()
+    candidates = components(hung.select(F.col("low").alias("a"), "b").unionByName(between))
     # blocks of each component, and their pairs
     sized = candidates.groupBy("component").count()
     dealt = candidates.join(sized, "component").select("node", "component", F.ceil(F.col("count") / settings.block).cast("int").alias("blocks"))
