@@ -12,7 +12,6 @@ overlapping candidates are taken by probability, then start; an empty table give
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from bisect import bisect_right

@@ -20,7 +20,6 @@ Other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +11,6 @@ from paceline.llm import chat, decontaminate, langid, line_dedup, media_jpeg, mi
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _h long, rep string, bucket string, h1 string"
 LONG = "alpha beta gamma delta " * 20_000
-WORDS = [f"w{i}" for i in range(40)]
 
 
 @pytest.fixture(scope="module")
@@ -50,7 +48,7 @@ def test_empty_table(name, spark, odd):
 
 def test_odd_suffixes(spark, odd):
     got = {r.doc_id: r for r in suffix_dedup.remove_repeats(odd, suffix_dedup.Settings(least_chunks=3)).collect()}
-    assert (got[6].n_removed, got[7].n_removed, got[7].n_spans) == (0, len(WORDS) * 0 + 79, 1)
+    assert (got[6].n_removed, got[7].n_removed, got[7].n_spans) == (0, 79, 1)
     assert bytes(got[7].kept) == b""
     assert got[5].n_removed == 0
     assert (got[1].n_bytes, got[2].n_bytes) == (0, 0)
@@ -111,4 +109,3 @@ def test_odd_media(spark, odd):
     assert got.count() == 0
     bad = spark.createDataFrame([(1, None), (2, b""), (3, b"\xff\xd8\xff\xd9"), (4, media_jpeg.pack([b"x" * 192])[0][:-20])], "doc_id long, media binary")
     assert media_jpeg.thumbnails(bad).where("error is not null and width is null").count() == 4
-    assert zlib.crc32(b" " * 16) == zlib.crc32(media_jpeg.padded(b"")[-16:])
