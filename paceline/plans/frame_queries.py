@@ -229,11 +229,6 @@ def separate_roads(spark, sf):
     return connections.separate_roads(e).select("segment_id", "u", "v", "in_metric_graph")
 
 
-@query("SELECT location_id, count(*) AS n_rows FROM v_scored GROUP BY 1")
-def rows_by_sensor(spark, sf):
-    return v_scored(spark, sf).groupBy("location_id").agg(F.count("*").alias("n_rows"))
-
-
 _HELD = {"north": [1, 2, 3], "south": [4, 5]}
 
 

@@ -249,9 +249,6 @@ _M = {
 _HOURLY = "SELECT location_id, date_trunc('hour', ts_utc) AS ts_utc, pedestriancount + (location_id + hour(ts_utc)) % 3 AS pedestriancount FROM (SELECT location_id, date_trunc('hour', sensing_datetime) AS ts_utc, sum(total_of_directions) AS pedestriancount FROM m GROUP BY 1, 2)"
 _STATUS = _M | {
     "h": "SELECT location_id, ts_utc, CAST(pedestriancount AS BIGINT) AS pedestriancount FROM (" + _HOURLY + ")",
-    "reporting": """SELECT location_id, n_rows, CASE WHEN on_start >= 0.99 THEN '5min' ELSE '1min' END AS resolution, coalesce(missing, '') AS missing_blocks, missing IS NULL AS usable FROM (
-  SELECT location_id, count(*) AS n_rows, avg(CASE WHEN minute % 5 = 0 THEN 1 ELSE 0 END) AS on_start,
-    CASE WHEN count(*) >= 300 THEN (SELECT string_agg(CAST(b * 5 AS VARCHAR) || '-' || CAST(b * 5 + 4 AS VARCHAR), ',' ORDER BY b) FROM range(12) AS t(b) WHERE NOT list_contains(list(m.block), b)) END AS missing FROM m GROUP BY location_id)""",
     "edge": "SELECT CASE WHEN min(sensing_datetime) = min(ts_utc) THEN min(ts_utc) ELSE min(ts_utc) + INTERVAL 1 HOUR END AS first, least(max(ts_utc), (SELECT max(ts_utc) FROM h)) AS last FROM m",
     "status": """SELECT location_id, ts_utc, n AS count, s AS minute_sum, s IS NOT NULL AS in_archive, coalesce(abs(s - n) <= greatest(0.05 * n, 2), false) AS adds_up, true AS usable_sensor, coalesce(abs(s - n) <= greatest(0.05 * n, 2), false) AND n >= 4 AS kept FROM (
   SELECT h.location_id, h.ts_utc, h.pedestriancount AS n, CASE WHEN h.pedestriancount = 0 AND x.s IS NULL THEN 0 ELSE x.s END AS s FROM h JOIN edge ON h.ts_utc >= first AND h.ts_utc < last
@@ -284,7 +281,7 @@ def sensor_reporting(spark, sf):
     return minutes.sensor_reporting(m.where("not (location_id = 3 and block in (2, 7)) and not (location_id = 5 and minute % 5 <> 0)"))
 
 
-_NEED = {k: v for k, v in _STATUS.items() if k != "reporting"}
+_NEED = _STATUS
 
 
 @query("SELECT * FROM status", **_NEED)
