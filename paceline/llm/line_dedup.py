@@ -4,12 +4,13 @@ Every line is hashed; every window of `window` neighbouring grams of `gram` line
 so two equal runs of `window + gram - 1` lines always share one. Fingerprints that occur once are done. For the
 others, positions are joined: each run is matched with its first occurrence, in order of id and line, and matched runs
 that touch or overlap grow together, both ways, into the longest repeated runs. Those are cut from all but the first.
+With `alone`, a line of so many bytes, and a text's only line, is a run by itself, matched with others of its kind.
 
 Only DataFrame functions run here. Counts and first occurrences are pre-aggregated and written before they are joined,
 so a hot line costs no task more than its share.
 
 Edge cases: null text has no lines and stays null; an empty text is one empty line; a text with fewer lines than a run
-stays whole; overlapping repeats inside one text count too; rows with a null id come last; repeated rows of an id and
+stays whole, unless its lines count alone; an empty line never counts alone; overlapping repeats inside one text count too; rows with a null id come last; repeated rows of an id and
 text are treated alike, as one; an empty table gives no rows. Other columns are ignored.
 """
 
@@ -27,8 +28,11 @@ _LAST = (1 << 63) - 1
 
 @dataclass(frozen=True)
 class Settings:
+    """`alone`: bytes from which a line counts without a neighbour; None where none does."""
+
     gram: int = 1
     window: int = 2
+    alone: int | None = None
 
     @property
     def run(self) -> int:
@@ -40,28 +44,32 @@ def _starts(lines: Column, n: int) -> Column:
 
 
 def windows(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc, same, at, fingerprint and run (hashes) of every run of lines."""
+    """doc, same, at, n (lines), fingerprint and run (hashes) of every run of lines, and of lines that count alone."""
     hashed = docs.withColumn("h", F.transform("lines", lambda x: F.xxhash64(x)))
     grams = hashed.withColumn("g", F.transform(_starts(F.col("h"), s.gram), lambda i: F.xxhash64(F.slice("h", i + 1, s.gram)) if s.gram > 1 else F.get("h", i)))
-    each = F.transform(_starts(F.col("h"), s.run), lambda i: F.struct(i.alias("at"), F.array_min(F.slice("g", i + 1, s.window)).alias("fingerprint"), F.xxhash64(F.slice("h", i + 1, s.run)).alias("run")))
-    return grams.select("doc", "same", F.explode(each).alias("w")).select("doc", "same", "w.at", "w.fingerprint", "w.run")
+    each = F.transform(_starts(F.col("h"), s.run), lambda i: F.struct(i.alias("at"), F.lit(s.run).alias("n"), F.array_min(F.slice("g", i + 1, s.window)).alias("fingerprint"), F.xxhash64(F.slice("h", i + 1, s.run)).alias("run")))
+    if s.alone is not None:
+        counts = F.filter(_starts(F.col("lines"), 1), lambda i: (F.octet_length(F.get("lines", i)) >= s.alone) | ((F.size("lines") == 1) & (F.get("lines", i) != "")))
+        own = F.transform(counts, lambda i: F.xxhash64(F.get("h", i), F.lit("alone")))
+        each = F.concat(each, F.zip_with(counts, own, lambda i, h: F.struct(i.alias("at"), F.lit(1).alias("n"), h.alias("fingerprint"), h.alias("run"))))
+    return grams.select("doc", "same", F.explode(each).alias("w")).select("doc", "same", "w.at", "w.n", "w.fingerprint", "w.run")
 
 
 def dedup_lines(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text (what is left), n_lines, n_removed and n_runs, for every row."""
-    n = settings.run
     own = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     keyed = own.withColumns({"doc": F.coalesce("doc_id", F.lit(_LAST)), "same": F.xxhash64("text")})
     found = windows(keyed.select("doc", "same", F.split("text", "\n", -1).alias("lines")), settings).distinct()
     shared = written(found.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint"), "fingerprints")
-    seeds = written(found.join(shared, "fingerprint", "left_semi").select("doc", "same", "at", "run"), "seeds")
+    seeds = written(found.join(shared, "fingerprint", "left_semi").select("doc", "same", "at", "n", "run"), "seeds")
     # a run that occurs once is no repeat; of others, what isn't first goes
     first = written(seeds.groupBy("run").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("run", "first"), "first")
     later = seeds.join(first, "run").where(F.col("first") < F.struct("doc", "at"))
-    at = later.groupBy("doc", "same").agg(F.array_sort(F.collect_set("at")).alias("at"))
-    # neighbours grow together; a run of lines begins where the one before doesn't reach it
-    begins = F.filter("at", lambda x, i: (i == 0) | (F.get("at", i - 1) + n < x))
-    ends = F.transform(F.filter("at", lambda x, i: (i == F.size("at") - 1) | (F.get("at", i + 1) > x + n)), lambda x: x + n)
+    lines = F.flatten(F.collect_set(F.sequence("at", F.col("at") + F.col("n") - 1)))
+    at = later.groupBy("doc", "same").agg(F.array_sort(F.array_distinct(lines)).alias("at"))
+    # neighbours grow together; a run of lines begins where the line before stays
+    begins = F.filter("at", lambda x, i: (i == 0) | (F.get("at", i - 1) + 1 < x))
+    ends = F.transform(F.filter("at", lambda x, i: (i == F.size("at") - 1) | (F.get("at", i + 1) > x + 1)), lambda x: x + 1)
     runs = at.select("doc", "same", begins.alias("begins"), ends.alias("ends"))
     joined = keyed.join(runs, ["doc", "same"], "left").withColumn("lines", F.split("text", "\n", -1))
     whole = F.col("begins").isNull()
@@ -79,11 +87,20 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings(), key: str = "do
     )
 
 
-def op9_line_winnowing(spark, sf_dir: str) -> DataFrame:
-    out = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+def _digests(spark, sf_dir: str, settings: Settings) -> DataFrame:
+    out = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"), settings)
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_line_winnowing(spark, sf_dir: str) -> DataFrame:
+    return _digests(spark, sf_dir, Settings())
+
+
+def op9_line_passages(spark, sf_dir: str) -> DataFrame:
+    """As op9_line_winnowing; lines of 200 bytes and one-line texts count alone as well."""
+    return _digests(spark, sf_dir, Settings(alone=200))
+
+
 #: Every run of two lines that occurred before, straight from its definition.
 OP9_SQL = """
 WITH l AS (
@@ -108,3 +125,32 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
   sha256(coalesce(string_agg(CASE WHEN NOT gone THEN s END, chr(10) ORDER BY line), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+#: The same, and every line of 200 bytes and every text of one line that occurred before.
+OP9_PASSAGES_SQL = """
+WITH l AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+), r AS (
+  SELECT doc_id, unnest(range(len(lines) - 1)) AS pos, lines FROM l WHERE len(lines) >= 2
+), w AS (
+  SELECT doc_id, pos, lines[pos + 1] || chr(10) || lines[pos + 2] AS run FROM r
+), f AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS k FROM w
+), every AS (
+  SELECT doc_id, unnest(range(len(lines))) AS line, unnest(lines) AS s, len(lines) AS n FROM l
+), alone AS (
+  SELECT doc_id, line, row_number() OVER (PARTITION BY s ORDER BY doc_id, line) AS k FROM every
+  WHERE octet_length(encode(s)) >= 200 OR (n = 1 AND s <> '')
+), gone AS (
+  SELECT doc_id, pos + d AS line FROM f, (VALUES (0), (1)) AS t(d) WHERE k > 1
+  UNION SELECT doc_id, line FROM alone WHERE k > 1
+), marked AS (
+  SELECT e.doc_id, e.line, e.s, g.line IS NOT NULL AS gone,
+    lag(g.line IS NOT NULL) OVER (PARTITION BY e.doc_id ORDER BY e.line) AS before
+  FROM every e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.line = g.line
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+  count(*) FILTER (WHERE gone AND NOT coalesce(before, false)) AS n_runs,
+  sha256(coalesce(string_agg(CASE WHEN NOT gone THEN s END, chr(10) ORDER BY line), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""

@@ -6,7 +6,7 @@ from . import oracles
 from .chat import op10_chat_tokens
 from .decontaminate import op1_string_tiling
 from .langid import op6_language_centroids
-from .line_dedup import OP9_SQL, op9_line_winnowing
+from .line_dedup import OP9_PASSAGES_SQL, OP9_SQL, op9_line_passages, op9_line_winnowing
 from .media_jpeg import op8_jpeg_columns
 from .minhash import op7_near_duplicates
 from .mixing import op2_temperature_mixture
@@ -17,6 +17,7 @@ from .suffix_dedup import op3_repeated_bytes
 _ALL = (
     op1_string_tiling, op2_temperature_mixture, op3_repeated_bytes, op4_bounded_ring, op5_personal_data,
     op6_language_centroids, op7_near_duplicates, op8_jpeg_columns, op9_line_winnowing, op10_chat_tokens,
+    op9_line_passages,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -24,5 +25,6 @@ ORACLES = {
     "op3_repeated_bytes": oracles.REPEATED_BYTES,
     "op7_near_duplicates": oracles.NEAR_DUPLICATES,
     "op9_line_winnowing": OP9_SQL,
+    "op9_line_passages": OP9_PASSAGES_SQL,
     "op10_chat_tokens": oracles.CHAT_TOKENS,
 }

@@ -452,6 +452,17 @@ def test_lines_by_definition(spark, gram, window):
     assert got == lines_by_definition(rows, gram + window - 1)
 
 
+def test_lines_that_count_alone(spark):
+    """A long line without a repeated neighbour and a one-line text go after their first occurrence; empty and short ones stay."""
+    long, other = "a long line of many words " * 4, "x" * 100
+    rows = [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd\n{other}"), (3, long), (4, "short"), (5, "short"), (6, ""), (7, ""), (8, "e\nshort\n\nf"), (9, f"{other}\ng\n{other}"), (10, f"a\n{long}\nh")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.text, r.n_removed, r.n_runs) for r in line_dedup.dedup_lines(df, line_dedup.Settings(alone=100)).collect()}
+    want = dict(rows) | {2: f"c\nd\n{other}", 3: "", 5: "", 9: "g", 10: "h"}
+    assert {k: v[0] for k, v in got.items()} == want
+    assert [got[k][1:] for k in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10)] == [(0, 0), (1, 1), (1, 1), (0, 0), (1, 1), (0, 0), (0, 0), (0, 0), (2, 2), (2, 1)]
+
+
 def test_native_plans_hold_no_python(spark, sf):
     for name in ("op4_bounded_ring", "op9_line_winnowing"):
         plan = queries.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
