@@ -2,9 +2,11 @@
 
 Base spans (email, ip, card, phone) follow fixed patterns and always stay. High-recall generators add overlapping
 candidates: loosely written addresses and numbers, and secrets behind a telling word. Boosted trees see format and
-context features of a candidate; they are fitted on a bounded sample of the texts where a candidate counts as personal
-if it is a base span, or if it is a long random-looking value assigned to a word that names a secret. A threshold per
-kind, set on a part of the sample that was not fitted, selects those kept beside the base spans.
+context features of a candidate; they are fitted on a bounded sample of the texts that have candidates, drawn for each
+kind by itself, where a candidate counts as personal if it is a base span, or if it is a long random-looking value
+assigned to a word that names a secret. A threshold per kind, set on a part of the sample that was not fitted, selects
+those kept beside the base spans. A kind whose sample gives no threshold is selected by fixed rules instead, so a small
+table's candidates are not lost.
 
 Edge cases: null text is empty, with no spans; a null id passes through; repeated rows give repeated results;
 overlapping candidates are taken by probability, then start; an empty table gives no rows. Other columns are ignored.
@@ -16,6 +18,8 @@ import math
 import re
 from bisect import bisect_right
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -34,10 +38,11 @@ _DIGIT = re.compile(r"[0-9]")
 _APART = re.compile(r"[ -]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
-_AT_WORD = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]{1,63}){1,4}", re.I)
+_AT_WORD = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}(?:(?: ?(?:\.|[\[(] ?dot ?[\])]) ?| dot )[A-Za-z0-9-]{1,63}){1,4}", re.I)
 _NUMBER = re.compile(r"[+(]?[0-9](?:[ ().\-]{0,2}[0-9]){6,24}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_/+=-])(?=[A-Za-z_/+=-]{0,64}[0-9])[A-Za-z0-9_/+=-]{16,256}(?![A-Za-z0-9_/+=-])")
 _TELLING = re.compile(r"(?:token|secret|passw(?:or)?d|api[_ -]?key|access[_ -]?key|key|credential|auth)[\w ]{0,12}[=:]\s*[\"']?$", re.I)
+_CALLED = re.compile(r"\b(?:phone|tel|telephone|call|mobile|fax)\b[^0-9]{0,12}$", re.I)
 _ABOUT = re.compile(r"(?:phone|tel|call|mobile|fax|contact|mail|card|visa|ip|addr)", re.I)
 
 
@@ -112,8 +117,29 @@ def weak_label(text: str, kind: str, a: int, b: int, base: set[tuple[str, int, i
     return (kind, a, b) in base or kind == "email"
 
 
+def by_rule(text: str, kind: str, a: int, b: int) -> bool:
+    """What stands in where nothing could be learned: the weak labels, card numbers by checksum, and phone numbers by sign or word."""
+    digits = [c for c in text[a:b] if "0" <= c <= "9"]
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and luhn("".join(digits))
+    if kind == "phone":
+        return 9 <= len(digits) <= 15 and (text[a] == "+" or bool(_CALLED.search(text[max(0, a - 32) : a])))
+    return weak_label(text, kind, a, b, set())
+
+
+#: What a text with candidates of each kind matches, in Java; numbers by how many digits they have.
+_HAS = {
+    "email": r"(?i)[\[(] ?at ?[\])] ?[a-z0-9-]",
+    "phone": r"(?<![0-9])(?<![0-9][ ().\-]{1,2})[0-9](?:[ ().\-]{0,2}[0-9]){6,11}(?![ ().\-]{0,2}[0-9])",
+    "card": r"[0-9](?:[ ().\-]{0,2}[0-9]){12}",
+    "secret": r"(?<![A-Za-z0-9_/+=-])(?=[A-Za-z_/+=-]{0,64}[0-9])[A-Za-z0-9_/+=-]{16,256}(?![A-Za-z0-9_/+=-])",
+}
+
+
 @dataclass
 class Model:
+    """Trees, and the threshold of each kind that has one; the other kinds go by rule."""
+
     trees: Boosted | None = None
     cut: dict[str, float] = field(default_factory=dict)
 
@@ -128,17 +154,19 @@ class Settings:
 
 
 def fit(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> Model:
-    """Fit on at most `sample` rows with a digit, picked by a hash of the key."""
-    some = docs.where(F.col(text).rlike("[0-9]")).select(F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(text).alias("text"))
-    n = some.select("h").count()
-    if not n:
+    """Fit on at most `sample` rows, picked by a hash of the key: of each kind's, an equal part or all there are."""
+    own = docs.select(F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(text).alias("text"))
+    has = {k: F.col("text").rlike(v) for k, v in _HAS.items()}
+    n = own.agg(*[F.count_if(c).alias(k) for k, c in has.items()]).first()
+    picked = [c & (F.pmod("h", F.lit(1_000_000)) < min(1_000_000, int(0.8e6 * settings.sample / len(has) / n[k]) + 1)) for k, c in has.items() if n[k]]
+    if not picked:
         return Model()
-    part = min(1_000_000, int(0.8e6 * settings.sample / n) + 1)
-    rows = sorted((r.h, r.text) for r in some.where(F.pmod("h", F.lit(1_000_000)) < part).limit(settings.sample).collect())
+    rows = sorted((r.h, r.text) for r in own.where(reduce(or_, picked)).limit(settings.sample).collect())
     x, y, kinds = [], [], []
     for _, t in rows:
         base = {(k, a, b) for k, v in base_spans(t).items() for a, b in v}
-        for k, a, b in candidates(t)[:200]:
+        found = candidates(t)
+        for k, a, b in (c for kind in _HAS for c in [z for z in found if z[0] == kind][:200]):
             x.append(features(t, k, a, b))
             y.append(weak_label(t, k, a, b, base))
             kinds.append(k)
@@ -148,23 +176,27 @@ def fit(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", t
     held = np.arange(len(y)) % 3 == 0
     trees = Boosted().fit(x[~held], y[~held])
     p = trees.predict(x[held])
-    return Model(trees, {k: max(0.5, threshold(p[m], y[held][m], settings.precision)) for k in sorted(set(kinds)) if (m := kinds[held] == k).sum() >= 20})
+    cut = {str(k): max(0.5, threshold(p[m], y[held][m], settings.precision)) for k in sorted(set(kinds)) if (m := kinds[held] == k).sum() >= 20}
+    return Model(trees, {k: v for k, v in cut.items() if v <= 1})
 
 
 def select(text: str, base: dict[str, list[tuple[int, int]]], model: Model) -> list[tuple[str, int, int]]:
     """The spans added to the base ones: likely candidates that overlap neither a base span nor a likelier candidate."""
-    if model.trees is None or not (found := [c for c in candidates(text) if c[0] in model.cut]):
+    found = [c for c in candidates(text) if c[0] in model.cut or by_rule(text, *c)]
+    if not found:
         return []
     taken = sorted(s for v in base.values() for s in v)
     reach = np.maximum.accumulate([b for _, b in taken]) if taken else []
     found = [c for c in found if not ((i := bisect_right(taken, (c[2] - 1, math.inf))) and reach[i - 1] > c[1])]
     if not found:
         return []
-    p = model.trees.predict(np.array([features(text, *c) for c in found]))
+    p = np.ones(len(found))
+    if learned := [i for i, c in enumerate(found) if c[0] in model.cut]:
+        p[learned] = model.trees.predict(np.array([features(text, *found[i]) for i in learned]))
     out: list[tuple[int, int, str]] = []
     for q, (k, a, b) in sorted(zip(-p, found, strict=True), key=lambda z: (z[0], z[1][1], -z[1][2])):
         i = bisect_right(out, (a, b, ""))
-        if -q >= model.cut[k] and (i == 0 or out[i - 1][1] <= a) and (i == len(out) or out[i][0] >= b):
+        if -q >= model.cut.get(k, 1) and (i == 0 or out[i - 1][1] <= a) and (i == len(out) or out[i][0] >= b):
             out.insert(i, (a, b, k))
     return [(k, a, b) for a, b, k in out]
 

@@ -269,6 +269,25 @@ def test_trees_learn_secrets(spark):
     assert red == 'and api_key: "<secret>" there <email>'
 
 
+def test_small_tables_lose_no_kind(spark):
+    """The same texts are redacted whether the table has many candidates, few, or many of other kinds only."""
+    rng = random.Random(2)
+    hexes = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    own = [(1, f'token = "{hexes()}" and more'), (2, "ask jane [at] mail dot example dot org"), (3, f"commit {hexes()} was merged")]
+    numbers = [(10 + i, f"order {rng.randint(10**8, 10**9)} of +61 3 9{rng.randint(10**6, 10**7 - 1)}") for i in range(200)]
+    for rows in (own, own + numbers):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r.doc_id: r.redacted for r in pii.find(df, pii.fit(df)).collect()}
+        assert [got[i] for i in (1, 2, 3)] == ['token = "<secret>" and more', "ask <email>", rows[2][1]]
+
+
+def test_sample_holds_each_kind(spark):
+    """Spelt-out addresses without a digit, in one row of a hundred, are sampled enough to get a threshold."""
+    rows = [(i, f"ask jane{'x' * (i % 7)} [at] mail dot org" if i % 100 == 0 else f"order 12345{i:06d} here") for i in range(12_000)]
+    model = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert model.cut["email"] <= 1
+
+
 def test_boosting_and_threshold():
     rng = np.random.default_rng(0)
     x = rng.random((600, 3))
