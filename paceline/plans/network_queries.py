@@ -234,10 +234,9 @@ def parallel_reduced(spark, sf):
     return graph.parallel_reduced(i.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("segment_id"), F.col("l_suppkey").alias("u"), (F.col("l_partkey") % 50).alias("v"), F.col("l_quantity").alias("length_m")))
 
 
-def _ways(spark, sf):
+def _ways(lines):
     """Orders' parts as ways: each line is a node."""
-    i = table(spark, sf, "lineitem").where("l_orderkey <= 4000")
-    per = i.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda s: s["l_partkey"]).alias("node_ids"))
+    per = lines.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda s: s["l_partkey"]).alias("node_ids"))
     return per.where(F.size("node_ids") > 1).select(F.col("l_orderkey").alias("way_id"), "node_ids")
 
 
@@ -249,7 +248,20 @@ def _ways(spark, sf):
     n="SELECT *, CAST(sum(cut::INT) OVER (PARTITION BY way_id ORDER BY pos) AS BIGINT) AS k FROM (SELECT *, pos > 0 AND pos < last AND count(*) OVER (PARTITION BY node) > 1 AS cut FROM f)",
 )
 def split_ways(spark, sf):
-    return segments.split_ways(_ways(spark, sf)).select("segment_id", "way_id", "u", "v", F.size("node_ids").cast("bigint").alias("n_nodes"))
+    ways = _ways(table(spark, sf, "lineitem").where("l_orderkey <= 4000"))
+    return segments.split_ways(ways).select("segment_id", "way_id", "u", "v", F.size("node_ids").cast("bigint").alias("n_nodes"))
+
+
+@query(
+    """SELECT CAST(way_id AS VARCHAR) || '-' || CAST(k AS VARCHAR) AS segment_id, way_id, first(node ORDER BY pos) AS u, last(node ORDER BY pos) AS v, count(*) AS n_nodes FROM (
+  SELECT way_id, pos, node, k FROM n UNION ALL SELECT way_id, pos, node, k - 1 FROM n WHERE cut) GROUP BY way_id, k HAVING count(*) > 1""",
+    w="SELECT l_orderkey AS way_id, list(l_partkey ORDER BY l_linenumber, l_partkey) AS nodes FROM lineitem GROUP BY 1 HAVING count(*) > 1",
+    f="SELECT way_id, unnest(range(len(nodes))) AS pos, unnest(nodes) AS node, len(nodes) - 1 AS last FROM w",
+    n="SELECT *, CAST(sum(cut::INT) OVER (PARTITION BY way_id ORDER BY pos) AS BIGINT) AS k FROM (SELECT *, pos > 0 AND pos < last AND count(*) OVER (PARTITION BY node) > 1 AS cut FROM f)",
+)
+def split_all_ways(spark, sf):
+    """As split_ways, of every order."""
+    return segments.split_ways(_ways(table(spark, sf, "lineitem"))).select("segment_id", "way_id", "u", "v", F.size("node_ids").cast("bigint").alias("n_nodes"))
 
 
 _TAGS = [

@@ -370,3 +370,13 @@ def test_baseline_learns_levels(spark):
 
 def test_tagged_rows_are_those_of_the_query(spark):
     assert network_queries.tagged(spark).count() == 15
+
+
+def test_all_ways_are_split(spark, tmp_path):
+    """No order is left out, however large its key; a way is cut at a node that one with a large key uses too."""
+    from paceline.plans import registry
+
+    rows = [(1, 1, 10), (1, 2, 11), (1, 3, 12), (90_000, 1, 20), (90_000, 2, 11), (90_000, 3, 21), (90_001, 1, 30)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = sorted((r.segment_id, r.u, r.v) for r in registry.QUERIES["split_all_ways"](spark, str(tmp_path)).collect())
+    assert got == [("1-0", 10, 11), ("1-1", 11, 12), ("90000-0", 20, 11), ("90000-1", 11, 21)]
