@@ -97,7 +97,7 @@ def segment_slope(spark, sf):
 
 
 def _buildings(spark, sf):
-    p = v_places(spark, sf).where("id % 3 = 0")
+    p = v_places(spark, sf)
 
     def corner(dx, dy):
         return F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))

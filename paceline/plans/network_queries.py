@@ -367,7 +367,7 @@ _HOLD = {"north": [1, 2], "south": [5]}
 
 @query(None)
 def location_splits(spark, sf):
-    return splits.splits(v_sites(spark, sf).where("id <= 100"), _HOLD)
+    return splits.splits(v_sites(spark, sf), _HOLD)
 
 
 @query(

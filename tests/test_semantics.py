@@ -380,3 +380,20 @@ def test_all_ways_are_split(spark, tmp_path):
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
     got = sorted((r.segment_id, r.u, r.v) for r in registry.QUERIES["split_all_ways"](spark, str(tmp_path)).collect())
     assert got == [("1-0", 10, 11), ("1-1", 11, 12), ("90000-0", 20, 11), ("90000-1", 11, 21)]
+
+
+def test_queries_take_the_whole_view(spark, sf):
+    """Every site is split and every place is a building; late polls are those of all sensors."""
+    from paceline.plans import frame_queries, registry, views
+
+    assert registry.QUERIES["location_splits"](spark, sf).count() == views.v_sites(spark, sf).count()
+    assert frame_queries._buildings(spark, sf).count() == views.v_places(spark, sf).count()
+    days = {r.day.day for r in registry.QUERIES["late_polls_of_all"](spark, sf).collect()}
+    assert days >= {4, 8, 12, 16, 20, 24}
+
+
+def test_all_sites_are_split(spark, tmp_path):
+    from paceline.plans import registry
+
+    spark.range(1, 151).withColumnRenamed("id", "s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    assert registry.QUERIES["location_splits"](spark, str(tmp_path)).count() == 150
