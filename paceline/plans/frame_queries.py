@@ -107,7 +107,10 @@ def _buildings(spark, sf):
 
 @query(None)
 def built_form(spark, sf):
-    return _r6(surroundings.built_form(_streets(spark, sf), _buildings(spark, sf), 20.0))
+    streets, b = _streets(spark, sf), _buildings(spark, sf)
+    layers = {"green": b.where("id % 10 = 3"), "ped_area": b.where("id % 10 = 7")}
+    out = surroundings.built_form(streets, b, 20.0).join(surroundings.area_distances(streets, layers, 100.0), "segment_id")
+    return _r6(out.drop("ped_area_adjacent"))
 
 
 @query(None)
@@ -128,6 +131,12 @@ def sensor_steepness(spark, sf):
     return _r6(surroundings.local_steepness(v_sites(spark, sf), sections, 25.0, 60.0))
 
 
+@query(None)
+def sensor_terrain(spark, sf):
+    """sensor_steepness with the terrain where no section is near; the raster of heights has gaps."""
+    return _r6(surroundings.fill_from_dem(sensor_steepness(spark, sf), v_sites(spark, sf), _raster(spark), 40.0, 40.0))
+
+
 @query(
     """SELECT 'det-' || CAST(segment_id AS VARCHAR) AS segment_id, coalesce(a.node, -segment_id * 2 - 1) AS u, coalesce(b.node, -segment_id * 2 - 2) AS v, round(sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2), 6) AS length_m, true AS is_detected FROM streets
 LEFT JOIN (SELECT segment_id AS s, p.id AS node, row_number() OVER (PARTITION BY segment_id ORDER BY sqrt((p.x - x1) ** 2 + (p.y - y1) ** 2), p.id) AS r FROM streets JOIN v_places p ON sqrt((p.x - x1) ** 2 + (p.y - y1) ** 2) <= 15) a ON a.s = segment_id AND a.r = 1

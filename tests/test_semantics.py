@@ -397,3 +397,22 @@ def test_all_sites_are_split(spark, tmp_path):
 
     spark.range(1, 151).withColumnRenamed("id", "s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
     assert registry.QUERIES["location_splits"](spark, str(tmp_path)).count() == 150
+
+
+def test_areas_near_segments(spark):
+    ring = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
+    areas = spark.createDataFrame([(1, ring)], "id long, ring array<struct<x: double, y: double>>")
+    rows = [(1, 30.0, 5.0, 40.0, 5.0), (2, -5.0, 5.0, 15.0, 5.0), (3, 4.0, 4.0, 5.0, 5.0), (4, 13.0, 14.0, 13.0, 90.0), (5, 90.0, 5.0, 95.0, 5.0), (6, 900.0, 0.0, 950.0, 0.0), (7, 31.0, 5.0, 40.0, 5.0)]
+    segs = spark.createDataFrame(rows, "segment_id long, x1 double, y1 double, x2 double, y2 double")
+    got = {r.segment_id: (r.green_dist_m, r.green_adjacent) for r in surroundings.area_distances(segs, {"green": areas}, 50.0).collect()}
+    assert got == {1: (20.0, True), 2: (0.0, True), 3: (0.0, True), 4: (5.0, True), 5: (50.0, False), 6: (50.0, False), 7: (21.0, False)}
+
+
+def test_terrain_where_no_section_is(spark):
+    raster = spark.createDataFrame([(r, c, 3.0 * c + 4.0 * r) for r in range(5) for c in range(5) if (r, c) != (4, 4)], "row long, col long, value double")
+    sensors = spark.createDataFrame([(1, 25.0, 25.0), (2, 35.0, 35.0), (3, 15.0, 15.0)], "id long, x double, y double")
+    done = spark.createDataFrame([(1, None, "none"), (2, None, "none"), (3, 7.0, "section")], "sensor long, slope_pct double, place_source string")
+    got = {r.sensor: (r.slope_pct, r.elevation_m, r.place_source) for r in surroundings.fill_from_dem(done, sensors, raster, 10.0).collect()}
+    assert got == {1: (50.0, 14.0, "dem"), 2: (50.0, 21.0, "dem"), 3: (7.0, None, "section")}
+    edge = spark.createDataFrame([(1, 35.0, 45.0)], "id long, x double, y double")
+    assert surroundings.dem_terrain(edge, raster, 10.0).first().slope_pct is None
