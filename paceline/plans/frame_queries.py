@@ -187,10 +187,14 @@ def cut_edges(spark, sf):
 
 @query(None)
 def inferred_crossings(spark, sf):
-    road = spark.createDataFrame([(1, 10, 0.0, 0.0, 100.0, 0.0), (2, 11, 300.0, 0.0, 400.0, 0.0)], "road long, junction long, jx double, jy double, nx double, ny double")
-    ends = spark.createDataFrame([(100, 8.0, 6.0), (101, 8.0, -6.0), (102, 3.0, 15.0), (103, 306.0, 5.0), (104, 306.0, -5.0)], "id long, x double, y double")
+    """Five roads alike; at 11 a crossing is mapped, at 12 only two edges meet, at 13 a short walk joins the sidewalks, at 14 a long one."""
+    road = spark.createDataFrame([(k + 1, 10 + k, 300.0 * k, 0.0, 300.0 * k + 100, 0.0) for k in range(5)], "road long, junction long, jx double, jy double, nx double, ny double")
+    ends = spark.createDataFrame([(102, 3.0, 15.0)] + [(110 + 10 * k + i, 300.0 * k + 8, y) for k in range(5) for i, y in ((0, 6.0), (1, -6.0))], "id long, x double, y double")
     mapped = spark.createDataFrame([(1, 310.0, 0.0)], "id long, x double, y double")
-    return connections.infer_crossings(road, ends, mapped)
+    roads = [(10 * k + i, 10 + k, 20 + 10 * k + i, 100.0, False) for k in range(5) for i in range(2 if k == 2 else 3)]
+    walks = [(101, 140, 200, 10.0, True), (102, 200, 141, 20.0, True), (103, 150, 201, 20.0, True), (104, 201, 151, 20.0, True)]
+    edges = spark.createDataFrame(roads + walks, "segment_id long, u long, v long, length_m double, in_metric_graph boolean")
+    return connections.infer_crossings(road, ends, mapped, edges)
 
 
 @query("SELECT 1 AS plaza, least(a, b) AS u, greatest(a, b) AS v, d AS length_m FROM (VALUES (0, 1, 100.0::DOUBLE), (0, 5, 100.0), (1, 6, 100.0), (5, 6, 100.0), (0, 6, sqrt(20000)), (1, 5, sqrt(20000))) AS t(a, b, d)")

@@ -416,3 +416,22 @@ def test_terrain_where_no_section_is(spark):
     assert got == {1: (50.0, 14.0, "dem"), 2: (50.0, 21.0, "dem"), 3: (7.0, None, "section")}
     edge = spark.createDataFrame([(1, 35.0, 45.0)], "id long, x double, y double")
     assert surroundings.dem_terrain(edge, raster, 10.0).first().slope_pct is None
+
+
+def test_inferred_crossings_hold_all_conditions(spark, sf):
+    """Neither where a crossing is mapped, nor where two edges meet, nor where the sidewalks are joined within three times the link."""
+    from paceline.plans import registry
+
+    got = registry.QUERIES["inferred_crossings"](spark, sf).collect()
+    assert sorted((r.segment_id, r.length_m) for r in got) == [("xing-110-111", 12.0), ("xing-150-151", 12.0)]
+
+
+def test_mapped_crossings_near_an_end_of_the_link(spark):
+    from paceline.operators import connections
+
+    road = spark.createDataFrame([(1, 10, 0.0, 0.0, 100.0, 0.0)], "road long, junction long, jx double, jy double, nx double, ny double")
+    ends = spark.createDataFrame([(1, 5.0, 12.0), (2, 5.0, -12.0)], "id long, x double, y double")
+    edges = spark.createDataFrame([(i, 10, 20 + i, 9.0, i > 0) for i in range(3)], "segment_id long, u long, v long, length_m double, in_metric_graph boolean")
+    for y, n in ((41.0, 0), (43.0, 1)):
+        mapped = spark.createDataFrame([(1, 5.0, y)], "id long, x double, y double")
+        assert connections.infer_crossings(road, ends, mapped, edges).count() == n
