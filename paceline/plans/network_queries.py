@@ -63,6 +63,17 @@ def match_sensors(spark, sf):
     return _r6(segments.match_sensors(_cands(spark, sf), v_sites(spark, sf).select(F.col("id").alias("sensor")), overrides))
 
 
+@query(None)
+def reviewed_matches(spark, sf):
+    """match_sensors with made-up classes, axes and location types, and every reason for a review."""
+    overrides = spark.createDataFrame([(7, 1), (9, 2)], "sensor long, segment long")
+    n = F.col("segment")
+    cands = _cands(spark, sf).withColumns({"highway": F.when(n % 3 == 0, "primary").otherwise("footway"), "bearing": (n * 17 % 180).cast("double")})
+    k = F.col("id")
+    sensors = v_sites(spark, sf).select(k.alias("sensor"), F.when(k % 5 != 0, (k * 29 % 180).cast("double")).alias("axis"), F.when(k % 11 == 0, "Indoor").otherwise("Outdoor").alias("location_type"))
+    return _r6(segments.review_matches(cands, sensors, overrides, ["footway", "pedestrian", "path", "steps", "living_street", "corridor", "cycleway"]))
+
+
 def _cands(spark, sf):
     got = spatial.candidates(v_sites(spark, sf), v_places(spark, sf), 20.0, F.when(F.col("b_id") % 4 == 0, 5.0).otherwise(0.0))
     return got.withColumnsRenamed({"a_id": "sensor", "b_id": "segment"})

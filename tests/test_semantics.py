@@ -435,3 +435,14 @@ def test_mapped_crossings_near_an_end_of_the_link(spark):
     for y, n in ((41.0, 0), (43.0, 1)):
         mapped = spark.createDataFrame([(1, 5.0, y)], "id long, x double, y double")
         assert connections.infer_crossings(road, ends, mapped, edges).count() == n
+
+
+def test_reasons_for_review(spark):
+    cands = [(1, 50, 2.0, 2.0, 1, "footway", 10.0), (1, 51, 9.0, 9.0, 2, "footway", 10.0), (2, 50, 16.0, 16.0, 1, "primary", 90.0), (2, 51, 17.0, 17.0, 2, "footway", 90.0), (3, 50, 16.0, 16.0, 1, "primary", 90.0), (3, 51, 17.0, 17.0, 2, "footway", 0.0)]
+    c = spark.createDataFrame(cands, "sensor long, segment long, dist double, score double, rank int, highway string, bearing double")
+    s = spark.createDataFrame([(1, 175.0, "Outdoor"), (2, 10.0, "Indoor"), (3, 10.0, "Outdoor"), (4, None, "Outdoor")], "sensor long, axis double, location_type string")
+    got = {r.sensor: (r.segment, r.dist, r.bearing_agrees, r.review_reasons, r.needs_review) for r in segments.review_matches(c, s, spark.createDataFrame([(3, 51)], "sensor long, segment long"), ["footway"]).collect()}
+    assert got == {
+        1: (50, 2.0, True, "", False), 2: (50, 16.0, False, "far; close runner-up; road centreline; bearing disagrees; indoor sensor", True),
+        3: (51, 17.0, None, "", False), 4: (None, None, None, "no segment", True),
+    }
