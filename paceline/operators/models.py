@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from .metrics import bounded, widen
 
 
+MOST_SENSORS = 100_000
+
+
 @dataclass
 class Baseline:
     """Mean log count of each hour of the week, and ridge weights for what a sensor's network says of its level."""
@@ -35,7 +38,7 @@ def _level(columns: Sequence[str]) -> list[Column]:
 def fit_baseline(rows: DataFrame, sensors: DataFrame, key: str, hour: str, y: str, columns: Sequence[str]) -> Baseline:
     """Fit on rows and a table of sensors. The ridge strength is the best of 13 by leaving one sensor out.
 
-    What comes to the driver are 168 hours and one row a sensor, in aggregates.
+    What comes to the driver are 168 hours and one row a sensor, in aggregates; more than `MOST_SENSORS` are an error.
     """
     log = F.log1p(F.col(y))
     hours = {r[0]: r[1] for r in rows.groupBy(hour).agg(F.avg(log)).collect()}
@@ -43,7 +46,9 @@ def fit_baseline(rows: DataFrame, sensors: DataFrame, key: str, hour: str, y: st
     spark = rows.sparkSession
     usual = F.broadcast(spark.createDataFrame(list(hours.items()), f"{hour} int, _usual double"))
     left = rows.join(usual, hour).groupBy(key).agg(F.avg(log - F.col("_usual")).alias("_left"))
-    got = left.join(sensors.select(key, *_level(columns)), key).orderBy(key).limit(100_000).collect()
+    got = left.join(sensors.select(key, *_level(columns)), key).orderBy(key).limit(MOST_SENSORS + 1).collect()
+    if len(got) > MOST_SENSORS:
+        raise ValueError(f"more than {MOST_SENSORS} sensors")
     target = np.array([r["_left"] for r in got])
     x = np.array([[np.nan if r[c] is None else r[c] for c in columns] for r in got], float).reshape(len(got), len(columns))
     centre = np.nan_to_num(np.nanmean(x, 0)) if len(x) else np.zeros(len(columns))

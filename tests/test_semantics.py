@@ -446,3 +446,13 @@ def test_reasons_for_review(spark):
         1: (50, 2.0, True, "", False), 2: (50, 16.0, False, "far; close runner-up; road centreline; bearing disagrees; indoor sensor", True),
         3: (51, 17.0, None, "", False), 4: (None, None, None, "no segment", True),
     }
+
+
+def test_baseline_counts_all_sensors_or_none(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, 0, 3.0 + i) for i in range(4)], "location_id int, hour_of_week int, n double")
+    sensors = spark.createDataFrame([(i, float(i)) for i in range(4)], "location_id int, reach double")
+    monkeypatch.setattr(models, "MOST_SENSORS", 3)
+    with pytest.raises(ValueError, match="more than 3 sensors"):
+        models.fit_baseline(rows, sensors, "location_id", "hour_of_week", "n", ["reach"])
+    monkeypatch.setattr(models, "MOST_SENSORS", 4)
+    assert len(models.fit_baseline(rows, sensors, "location_id", "hour_of_week", "n", ["reach"]).beta) == 2
