@@ -1,19 +1,21 @@
 """Removal of byte strings that an earlier document holds, by refined suffix buckets.
 
 A string of `length` bytes belongs to the bucket of one of its q-grams, the one with the least hash; equal strings
-share it. Four passes over packed rows, so that what is shuffled stays below the input's size:
+share it. Keys of buckets travel whole (64 bits), so the number of chunks and of groups has no limit short of 2^31. Four
+passes over rows that hold as many contexts as a chunk and a group share; at many chunks that is one, and what is
+shuffled is about three times the input:
 
 1. Every text's buckets are counted; those with one document only are done. Copies of a whole text are found by digest.
 2. Documents meet the buckets they share with others, chunk by chunk. Neighbouring strings of a bucket go out as one
    context of bytes, equal contexts of a chunk once. A very common bucket is cut finer, to whole strings.
 3. Within a bucket, suffixes are refined by sorting on the bucket identifiers of later offsets: identifiers of 8 bytes
    make those of 16, these those of 32, and these the full length; a suffix alone in its bucket drops out. Each class
-   that is left is one string, and its smallest document is known.
+   that is left is compared byte for byte, so it is one string, and its smallest document is known.
 4. Chunks get the smallest document of each context's strings back and cut what others hold.
 
 A hot string costs a row of a blob for each chunk, not for each document, so no task grows with its copies.
 
-Edge cases: null text is empty; documents shorter than `length` stay whole; rows with a null id come after all others
+Edge cases: null text is empty; documents shorter than `length` stay whole and are not shuffled; rows with a null id come after all others
 and never remove from each other; repeated rows of an id never remove from each other; an empty table gives no rows.
 Other columns are ignored.
 """
@@ -25,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +35,12 @@ from .shared import written
 from .textarrays import U, groups, mix
 
 LAST = np.iinfo(np.int64).max
-#: Kinds of replies to chunks.
-COPIES, SHARED, VERDICT = 0, 1, 2
+#: Kinds of replies to chunks: copies of whole texts, shared buckets, very common ones, and what to cut.
+COPIES, SHARED, HOT, VERDICT = 0, 1, 2, 3
 REPLY = "chunk int, kind int, blob binary, copies array<bigint>"
-_LOW = U((1 << 40) - 1)
+_COUNT = np.dtype([("key", "<u8"), ("chunk", "<u4"), ("n", "u1")])
+_CONTEXT = np.dtype([("key", "<u8"), ("own", "<u4"), ("n", "u1"), ("low", "<i8"), ("high", "<i8")])
+_VERDICT = np.dtype([("own", "<u4"), ("place", "u1"), ("n", "u1"), ("least", "<i8")])
 
 
 @dataclass(frozen=True)
@@ -100,42 +105,51 @@ class Strings:
 
 
 def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
-    return ((key >> U(40)) % U(buckets)).astype(np.int64)
+    """Ranges of keys, up to 2^31 of them; a key is always sent whole."""
+    return ((key >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
 
 
-def _short(key: np.ndarray, buckets: int) -> np.ndarray:
-    return _bucket(key, buckets).astype(np.uint64) << U(40) | key & _LOW
+def _new(*columns: np.ndarray) -> np.ndarray:
+    """Where a sorted table has another key than the row before."""
+    out = np.ones(len(columns[0]), bool)
+    if len(out):
+        out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return out
 
 
-def _split(column: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """Order by the column, and (value, from, to) of each value."""
-    order = np.argsort(column, kind="stable")
-    v = column[order]
-    if not len(v):
-        return order, []
-    at = np.flatnonzero(np.diff(v, prepend=-1))
-    return order, list(zip(v[at].tolist(), at.tolist(), [*at[1:].tolist(), len(v)], strict=True))
+def _packed(data: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Binary values that lie behind each other in `data`, between these edges."""
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype("<i4")), pa.py_buffer(np.ascontiguousarray(data).view(np.uint8))])
 
 
-def _blob(*arrays: np.ndarray) -> bytes:
-    return b"".join(a.tobytes() for a in arrays)
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of binary values behind each other, and their sizes."""
+    data, sizes = [np.empty(0, np.uint8)], [np.empty(0, np.int64)]
+    for part in column.cast(pa.binary()).chunks:
+        if len(part):
+            edges = np.frombuffer(part.buffers()[1], "<i4")[part.offset : part.offset + len(part) + 1]
+            sizes.append(np.diff(edges))
+            if edges[-1] > edges[0]:
+                data.append(np.frombuffer(part.buffers()[2], np.uint8)[edges[0] : edges[-1]])
+    return np.concatenate(data), np.concatenate(sizes)
 
 
-def _parse(blob: bytes, *kinds: str) -> list[np.ndarray]:
-    n, at, out = len(blob) // sum(np.dtype(k).itemsize for k in kinds), 0, []
-    for k in kinds:
-        out.append(np.frombuffer(blob, k, n, at))
-        at += n * np.dtype(k).itemsize
-    return out
+def _records(column: pa.ChunkedArray, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The records in binary values, and how many are in each."""
+    data, sizes = _flat(column)
+    return data.view(kind), sizes // kind.itemsize
 
 
-def _joined(blobs: list[bytes], *kinds: str) -> list[np.ndarray]:
-    parsed = [_parse(b, *kinds) for b in blobs]
-    return [np.concatenate([p[i] for p in parsed]) if parsed else np.empty(0, k) for i, k in enumerate(kinds)]
+def _replies(kind: int, chunk: np.ndarray, records: np.ndarray, kinds: np.ndarray | None = None) -> pa.Table:
+    """One reply for each chunk (and kind) of sorted records."""
+    own = np.full(len(chunk), kind) if kinds is None else kinds
+    at = np.flatnonzero(_new(chunk, own))
+    blob = _packed(records, np.append(at, len(chunk)) * records.dtype.itemsize)
+    return pa.table([pa.array(chunk[at], pa.int32()), pa.array(own[at], pa.int32()), blob, pa.nulls(len(at), pa.list_(pa.int64()))], names=["chunk", "kind", "blob", "copies"])
 
 
 def _count(s: Settings, buckets: int):
-    """Pass 1, map side: bucket, blob of (rest of key, chunk, documents)."""
+    """Pass 1, map side: bucket, blob of (key, chunk, documents)."""
     arrow = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,24 +159,23 @@ def _count(s: Settings, buckets: int):
             key, chunk = np.concatenate(keys), np.concatenate(chunks)
             order = np.lexsort((chunk, key))
             key, chunk = key[order], chunk[order]
-            at = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])]))
-            n = np.minimum(np.diff(np.append(at, len(key))), 255).astype(np.uint8)
-            key, chunk = key[at], chunk[at]
-            order, parts = _split(_bucket(key, buckets))
-            key, chunk, n = key[order] & _LOW, chunk[order], n[order]
-            rows = [(b, _blob((key[i:j] >> U(8)).astype("<u4"), (key[i:j] & U(255)).astype("<u1"), chunk[i:j].astype("<u4"), n[i:j])) for b, i, j in parts]
+            at = np.flatnonzero(_new(key, chunk))
+            out = np.empty(len(at), _COUNT)
+            out["key"], out["chunk"], out["n"] = key[at], chunk[at], np.minimum(np.diff(np.append(at, len(key))), 255)
+            bucket = _bucket(out["key"], buckets)
+            at = np.flatnonzero(_new(bucket))
             keys.clear()
             chunks.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)], schema=arrow)
+            return pa.RecordBatch.from_arrays([pa.array(bucket[at], pa.int32()), _packed(out, np.append(at, len(out)) * out.itemsize)], schema=arrow)
 
         for batch in batches:
-            texts = [t or b"" for t in batch.column(1).to_pylist()]
+            texts = batch.column(1).to_pylist()
             chunk = batch.column(0).to_numpy()
             for a, z in groups([len(t) for t in texts]):
                 x = Strings(texts[a:z], s)
                 order = np.lexsort((x.key, x.of))
                 of, key = x.of[order], x.key[order]
-                first = np.concatenate([[True], (of[1:] != of[:-1]) | (key[1:] != key[:-1])]) if len(of) else np.zeros(0, bool)
+                first = _new(of, key)
                 keys.append(key[first])
                 chunks.append(chunk[a:z][of[first]])
                 if sum(map(len, keys)) >= s.flush:
@@ -174,23 +187,18 @@ def _count(s: Settings, buckets: int):
 
 
 def _shared(s: Settings):
-    """Pass 1, reduce side: chunk, blob of the buckets it shares with other documents; the top bit marks very common ones."""
-    arrow = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary()), ("copies", pa.list_(pa.int64()))])
+    """Pass 1, reduce side: chunk, blob of the buckets it shares with other documents; very common ones apart."""
 
     def run(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        hi, lo, chunk, n = _joined(table.column("blob").to_pylist(), "<u4", "<u1", "<u4", "<u1")
-        key = hi.astype(np.uint64) << U(8) | lo
-        order = np.argsort(key, kind="stable")
-        key, chunk, n = key[order], chunk[order], n[order]
-        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        total = np.repeat(np.add.reduceat(n.astype(np.int64), at), np.diff(np.append(at, len(key))))
-        key = key | U(bucket) << U(40) | (total >= s.hot).astype(np.uint64) << U(63)
-        key, chunk = key[total > 1], chunk[total > 1].astype(np.int64)
-        order, parts = _split(chunk)
-        key = key[order]
-        rows = [(c, SHARED, np.unique(key[i:j]).tobytes(), None) for c, i, j in parts]
-        return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)], schema=arrow)
+        found, _ = _records(table.column("blob"), _COUNT)
+        found = found[np.lexsort((found["chunk"], found["key"]))]
+        at = np.flatnonzero(_new(found["key"]))
+        total = np.repeat(np.add.reduceat(found["n"].astype(np.int64), at), np.diff(np.append(at, len(found))))
+        key, chunk, kind = found["key"][total > 1], found["chunk"][total > 1].astype(np.int64), np.where(total[total > 1] >= s.hot, HOT, SHARED)
+        order = np.lexsort((key, kind, chunk))
+        key, chunk, kind = key[order], chunk[order], kind[order]
+        once = _new(chunk, kind, key)
+        return _replies(SHARED, chunk[once], key[once], kind[once])
 
     return run
 
@@ -201,29 +209,25 @@ class Contexts:
     Copies of a whole earlier text have nothing to send and nothing left; they stand as empty.
     """
 
-    def __init__(self, table: pa.Table, replies: pa.Table, s: Settings, buckets: int):
-        kind, blob = replies.column("kind").to_pylist(), replies.column("blob").to_pylist()
-        blobs = [b for k, b in zip(kind, blob, strict=True) if k == SHARED]
+    def __init__(self, table: pa.Table, replies: pa.Table, s: Settings):
+        of_kind = lambda k: replies.filter(pc.equal(replies.column("kind"), k)).column("blob")
+        cold, hot = (np.sort(_records(of_kind(k), np.dtype("<u8"))[0]) for k in (SHARED, HOT))
+        self.verdicts = _records(of_kind(VERDICT), _VERDICT)[0]
         copies = np.array([i for ids in replies.column("copies").to_pylist() for i in ids or ()], np.int64)
-        self.verdicts = [b for k, b in zip(kind, blob, strict=True) if k == VERDICT]
-        texts = [t or b"" for t in table.column("text").to_pylist()]
+        texts = table.column("text").to_pylist()
         self.ids, self.sizes = table.column("doc_id").to_pylist(), np.array([len(t) for t in texts], np.int64)
         self.copy = np.isin(table.column("row").to_numpy(), copies)
         texts = [b"" if c else t for c, t in zip(self.copy, texts, strict=True)]
         docs = np.array([LAST if i is None else i for i in self.ids], np.int64)
-        shared = np.sort(np.concatenate([np.frombuffer(b, np.uint64) for b in blobs]) if blobs else np.empty(0, np.uint64))
-        hot = shared[np.searchsorted(shared, U(1 << 63)) :] & U((1 << 63) - 1)
-        cold = shared[: len(shared) - len(hot)]
         self.start = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
         self.data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
         most = s.length + 1  # so that a context's first and last string cover it
         key, same, at, n, doc = [], [], [], [], []
         for a, z in groups([len(t) for t in texts]):
             x = Strings(texts[a:z], s)
-            short = _short(x.key, buckets)
             for kind, step in ((cold, most), (hot, 1)):
-                k = np.minimum(np.searchsorted(kind, short), max(len(kind) - 1, 0))
-                own = np.flatnonzero(kind[k] == short) if len(kind) else np.empty(0, np.int64)
+                k = np.minimum(np.searchsorted(kind, x.key), max(len(kind) - 1, 0))
+                own = np.flatnonzero(kind[k] == x.key) if len(kind) else np.empty(0, np.int64)
                 pieces = -(-(x.z[own] - x.a[own]) // step)
                 run = np.repeat(own, pieces)
                 first = x.a[run] + step * (np.arange(len(run)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
@@ -237,9 +241,7 @@ class Contexts:
         key, same, at, n, doc = (np.concatenate(v) if v else np.empty(0, np.int64) for v in (key, same, at, n, doc))
         order = np.lexsort((doc, same))
         self.at, self.doc = at[order], doc[order]
-        new = np.concatenate([[True], same[order][1:] != same[order][:-1]]) if len(order) else np.zeros(0, bool)
-        self.which = np.cumsum(new) - 1
-        first = np.flatnonzero(new)
+        first = np.flatnonzero(_new(same[order]))
         self.bounds = np.append(first, len(order))
         self.key, self.n, self.first = key[order][first], n[order][first], self.at[first]
         self.low, self.high = self.doc[first], self.doc[self.bounds[1:] - 1] if len(first) else self.doc[:0]
@@ -251,27 +253,46 @@ def _spread(sizes: np.ndarray) -> np.ndarray:
 
 
 def _send(s: Settings, buckets: int):
-    """Pass 2: bucket, chunk, blob of contexts and their bytes."""
-    arrow = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("n", pa.int32()), ("blob", pa.binary()), ("bytes", pa.binary())])
+    """Pass 2: bucket, chunk, the heads of contexts and their bytes; cells of one context are as good as those of many."""
+    arrow = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("head", pa.binary()), ("bytes", pa.binary())])
 
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        import zstandard
-
-        zip_, rows = zstandard.ZstdCompressor(level=1), []
-        if docs.num_rows:
-            chunk = docs.column("chunk")[0].as_py()
-            c = Contexts(docs, replies, s, buckets)
-            order, parts = _split(_bucket(c.key, buckets))
-            for b, i, j in parts:
-                own = order[i:j]
-                size = c.n[own] + s.length - 1
-                data = c.data[np.repeat(c.first[own], size) + _spread(size)]
-                rows.append((b, chunk, j - i, zip_.compress(_blob(c.key[own], own.astype("<u4"), c.n[own].astype("<u1"), c.low[own], c.high[own])), zip_.compress(data.tobytes())))
-        return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)], schema=arrow)
+        if not docs.num_rows:
+            return arrow.empty_table()
+        chunk, c = docs.column("chunk")[0].as_py(), Contexts(docs, replies, s)
+        own = np.argsort(c.key, kind="stable")
+        size = c.n[own] + s.length - 1
+        head = np.empty(len(own), _CONTEXT)
+        head["key"], head["own"], head["n"], head["low"], head["high"] = c.key[own], own, c.n[own], c.low[own], c.high[own]
+        data = c.data[np.repeat(c.first[own], size) + _spread(size)]
+        bucket = _bucket(c.key[own], buckets)
+        at = np.flatnonzero(_new(bucket))
+        edges, ends = np.append(at, len(own)), np.concatenate([[0], np.cumsum(size)])
+        return pa.Table.from_arrays([pa.array(bucket[at], pa.int32()), pa.array(np.full(len(at), chunk), pa.int32()), _packed(head, edges * head.itemsize), _packed(data, ends[edges])], schema=arrow)
 
     return run
 
 
+def _confirmed(data: np.ndarray, at: np.ndarray, cls: np.ndarray, length: int) -> np.ndarray:
+    """Classes in which all strings are equal byte for byte, from ones in which their identifiers are; `cls` is sorted."""
+    head = np.flatnonzero(_new(cls))
+    first, words = at[np.repeat(head, np.diff(np.append(head, len(cls))))], _unaligned(data)
+    odd = np.zeros(len(at), bool)
+    for off in [*range(0, length - 8, 8), length - 8]:
+        odd |= words[at + off] != words[first + off]
+    if not odd.any():
+        return cls
+    out, n = cls.copy(), int(cls.max())
+    for c in np.unique(cls[odd]):
+        strings: dict[bytes, list[int]] = {}
+        for i in np.flatnonzero(cls == c):
+            strings.setdefault(data[at[i] : at[i] + length].tobytes(), []).append(i)
+        for members in strings.values():
+            n += 1
+            out[members] = n if len(members) > 1 else -1
+    return out
+
+
 def refine(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """Classes of equal strings of `length` bytes that start at `at`; -1 where no other is equal.
 
@@ -293,7 +314,7 @@ def refine(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
         kept = (np.diff(np.append(np.flatnonzero(new), len(p))) > 1)[number - 1]
         live, bucket = live[order[kept]], p[kept]
         if last:
-            out[live] = number[kept]
+            out[live] = _confirmed(data, at[live], number[kept], length)
             break
         offset += reach
         if offset == 2 * reach and offset <= length:  # identifiers of twice the bytes, from the one at a later offset
@@ -303,25 +324,20 @@ def refine(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
 
 def _resolve(s: Settings):
     """Pass 3: chunk, blob of (context, first string, strings, smallest document) where something is to go."""
-    arrow = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary()), ("copies", pa.list_(pa.int64()))])
 
     def run(table: pa.Table) -> pa.Table:
-        import zstandard
-
-        unzip = zstandard.ZstdDecompressor()
-        key, own, n, low, high = _joined([unzip.decompress(b) for b in table.column("blob").to_pylist()], "<u8", "<u4", "<u1", "<i8", "<i8")
-        data = np.frombuffer(b"".join([unzip.decompress(b) for b in table.column("bytes").to_pylist()]), np.uint8)
-        chunk = np.repeat(table.column("chunk").to_numpy(), table.column("n").to_numpy()).astype(np.int64)
-        n = n.astype(np.int64)
+        head, many = _records(table.column("head"), _CONTEXT)
+        data, _ = _flat(table.column("bytes"))
+        key, own, low, high, n = head["key"], head["own"], head["low"], head["high"], head["n"].astype(np.int64)
+        chunk = np.repeat(table.column("chunk").to_numpy(), many).astype(np.int64)
         begin = np.cumsum(n + s.length - 1) - (n + s.length - 1)
         # contexts alone in their bucket, of one document, have nothing to meet
         order = np.argsort(key)
-        k = key[order]
-        new = np.concatenate([[True], k[1:] != k[:-1]])
-        many = np.zeros(len(key), bool)
-        many[order] = (np.diff(np.append(np.flatnonzero(new), len(k))) > 1)[np.cumsum(new) - 1]
-        rows = []
-        todo = np.flatnonzero(many | (low != high))
+        new = _new(key[order])
+        alone = np.empty(len(key), bool)
+        alone[order] = (np.diff(np.append(np.flatnonzero(new), len(key))) == 1)[np.cumsum(new) - 1]
+        todo = np.flatnonzero(~alone | (low != high))
+        chunks, rows = [np.empty(0, np.int64)], [np.empty(0, _VERDICT)]
         for part in range(s.parts):  # equal keys stay together; only a part's arrays are in memory
             mine = todo[key[todo] % U(s.parts) == part]
             if not len(mine):
@@ -335,31 +351,32 @@ def _resolve(s: Settings):
             met = np.flatnonzero(cls >= 0)
             order = met[np.argsort(cls[met], kind="stable")]
             if len(order):
-                at = np.flatnonzero(np.diff(cls[order], prepend=-1))
+                at = np.flatnonzero(_new(cls[order]))
                 least[order] = np.repeat(np.minimum.reduceat(least[order], at), np.diff(np.append(at, len(order))))
             gone = least < high[context]
-            head = gone & np.concatenate([[True], (context[1:] != context[:-1]) | (least[1:] != least[:-1]) | ~gone[:-1]])
-            tail = gone & np.concatenate([(context[1:] != context[:-1]) | (least[1:] != least[:-1]) | ~gone[1:], [True]])
+            head = gone & (_new(context, least) | ~np.append(False, gone[:-1]))
+            tail = gone & np.append(head[1:] | ~gone[1:] | _new(context, least)[1:], True)
             h, t = np.flatnonzero(head), np.flatnonzero(tail)
-            order, parts = _split(chunk[context[h]])
-            for c, i, j in parts:
-                x, y = h[order[i:j]], t[order[i:j]]
-                rows.append((c, VERDICT, _blob(own[context[x]].astype("<u4"), place[x].astype("<u1"), (y - x + 1).astype("<u1"), least[x].astype("<i8")), None))
-        return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)], schema=arrow)
+            out = np.empty(len(h), _VERDICT)
+            out["own"], out["place"], out["n"], out["least"] = own[context[h]], place[h], t - h + 1, least[h]
+            chunks.append(chunk[context[h]])
+            rows.append(out)
+        at, out = np.concatenate(chunks), np.concatenate(rows)
+        order = np.argsort(at, kind="stable")
+        return _replies(VERDICT, at[order], out[order])
 
     return run
 
 
-def _cut(s: Settings, buckets: int):
+def _cut(s: Settings):
     """Pass 4: what is left of each text."""
     arrow = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return arrow.empty_table()
-        c = Contexts(docs, replies, s, buckets)
-        which, place, n, least = _joined(c.verdicts, "<u4", "<u1", "<u1", "<i8")
-        which = which.astype(np.int64)
+        c = Contexts(docs, replies, s)
+        which, place, n, least = c.verdicts["own"].astype(np.int64), c.verdicts["place"].astype(np.int64), c.verdicts["n"], c.verdicts["least"]
         copies = c.bounds[which + 1] - c.bounds[which]
         seen = np.repeat(c.bounds[which], copies) + _spread(copies)
         verdict = np.repeat(np.arange(len(which)), copies)
@@ -383,21 +400,25 @@ def _cut(s: Settings, buckets: int):
 
 def remove_repeats(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes), for every row."""
-    own = docs.select(F.col(key).cast("long").alias("doc_id"), F.encode(F.col(text), "UTF-8").alias("text"))
+    every = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.encode(F.col(text), "UTF-8"), F.lit(b"")).alias("text"))
+    # a text without any string of the length has nothing to meet
+    short = every.where(F.octet_length("text") < settings.length).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("text").alias("kept"))
+    own = every.where(F.octet_length("text") >= settings.length)
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(settings.least_chunks, -(-total // settings.chunk))
     buckets = 2 * chunks
     own = own.withColumn("row", F.xxhash64("doc_id", "text")).withColumn("chunk", F.pmod("row", F.lit(chunks)).cast("int"))
     # copies of whole texts, by a digest: all but those with the smallest id go
-    digests = own.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= settings.length)).select("doc_id", "row", "chunk", F.unhex(F.md5("text")).alias("digest"))
+    digests = own.where("doc_id is not null").select("doc_id", "row", "chunk", F.unhex(F.md5("text")).alias("digest"))
     first = written(digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("digest", "first"), "first")
     copies = digests.join(first, "digest").where("doc_id > first").groupBy("chunk").agg(F.collect_set("row").alias("copies"))
     copies = copies.select("chunk", F.lit(COPIES).alias("kind"), F.lit(None).cast("binary").alias("blob"), "copies")
     counted = own.select("chunk", "text").mapInArrow(_count(settings, buckets), "bucket int, blob binary")
     shared = written(counted.groupBy("bucket").applyInArrow(_shared(settings), REPLY).unionByName(copies), "shared")
-    sent = own.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send(settings, buckets), "bucket int, chunk int, n int, blob binary, bytes binary")
+    sent = own.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send(settings, buckets), "bucket int, chunk int, head binary, bytes binary")
     verdicts = sent.groupBy("bucket").applyInArrow(_resolve(settings), REPLY)
-    return own.groupBy("chunk").cogroup(shared.unionByName(verdicts).groupBy("chunk")).applyInArrow(_cut(settings, buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    cut = own.groupBy("chunk").cogroup(shared.unionByName(verdicts).groupBy("chunk")).applyInArrow(_cut(settings), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return cut.unionByName(short)
 
 
 def op3_repeated_bytes(spark, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -172,6 +173,37 @@ def test_refined_classes_are_equal_strings(data, length):
     assert len({(c, s) for c, s in zip(got, strings, strict=True) if c >= 0}) == len({c for c in got if c >= 0}) == len({s for s in strings if strings.count(s) > 1})
 
 
+def test_keys_stay_whole_with_many_buckets():
+    """Every key that two documents share comes back as it was, with groups for 100 TB and beyond."""
+    s = suffix_dedup.Settings(hot=3)
+    rng = np.random.default_rng(0)
+    keys = np.sort(rng.integers(0, 1 << 64, 3000, dtype=np.uint64, endpoint=False))
+    for buckets in (128, 1 << 24, (1 << 31) - 1):
+        bucket = suffix_dedup._bucket(keys, buckets)
+        assert bucket.min() >= 0
+        assert bucket.max() < buckets
+        assert (np.diff(bucket) >= 0).all()
+        found = {suffix_dedup.SHARED: set(), suffix_dedup.HOT: set()}
+        for b in np.unique(bucket):
+            own = np.repeat(keys[bucket == b], 3)
+            rows = np.zeros(len(own), suffix_dedup._COUNT)
+            rows["key"], rows["chunk"], rows["n"] = own, np.arange(len(own)) % 3, 1
+            rows = rows[(np.arange(len(rows)) % 3 < 2) | (rows["key"] % np.uint64(2) == 0)]
+            blob = suffix_dedup._packed(rows, np.array([0, len(rows) * rows.itemsize]))
+            out = suffix_dedup._shared(s)(pa.table([pa.array([b], pa.int32()), blob], names=["bucket", "blob"]))
+            for kind, value in zip(out.column("kind").to_pylist(), out.column("blob").to_pylist(), strict=True):
+                found[kind] |= set(np.frombuffer(value, "<u8").tolist())
+        assert found[suffix_dedup.HOT] == {k for k in keys.tolist() if k % 2 == 0}
+        assert found[suffix_dedup.SHARED] == {k for k in keys.tolist() if k % 2}
+
+
+def test_classes_are_confirmed_by_their_bytes():
+    data = np.frombuffer(b"abcdefghijkl" * 2 + b"abcdefghijkX" + b"zzzzzzzzzzzz" * 2 + b"........", np.uint8)
+    at, cls = np.array([0, 12, 24, 36, 48]), np.array([1, 1, 1, 1, 1])
+    assert suffix_dedup._confirmed(data, at, cls, 12).tolist() == [2, 2, -1, 4, 4]
+    assert suffix_dedup._confirmed(data, at[:2], cls[:2], 12).tolist() == [1, 1]
+
+
 # 4: ring
 
 
