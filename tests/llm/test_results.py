@@ -480,38 +480,68 @@ def test_progressive_is_refused():
 # 9: lines
 
 
-def lines_by_definition(rows, n):
+def lines_by_definition(rows, n, alone=None):
     seen, out = set(), {}
     for i, t in sorted(rows):
         lines = t.split("\n")
         gone = [False] * len(lines)
-        for j in range(len(lines) - n + 1):
-            key = tuple(lines[j : j + n])
+        runs = [("run", j, n) for j in range(len(lines) - n + 1)]
+        if alone is not None:
+            runs += [("line", j, 1) for j, x in enumerate(lines) if len(x.encode()) >= alone]
+            runs += [("text", 0, len(lines))] if len(lines) < n and t else []
+        for kind, j, m in runs:
+            key = kind, tuple(lines[j : j + m])
             if key in seen:
-                gone[j : j + n] = [True] * n
+                gone[j : j + m] = [True] * m
             seen.add(key)
-        out[i] = "\n".join(x for x, g in zip(lines, gone, strict=True) if not g)
+        out[i] = ("\n".join(x for x, g in zip(lines, gone, strict=True) if not g), sum(gone), sum(g and (j == 0 or not gone[j - 1]) for j, g in enumerate(gone)))
     return out
 
 
-@pytest.mark.parametrize(("gram", "window"), [(1, 2), (2, 2), (1, 1), (2, 3)])
-def test_lines_by_definition(spark, gram, window):
+@pytest.mark.parametrize(("gram", "window", "alone"), [(1, 4, None), (2, 2, None), (1, 1, None), (2, 4, 2), (1, 4, 2), (1, 5, 1)])
+def test_lines_by_definition(spark, gram, window, alone):
     rng = random.Random(gram * 10 + window)
-    rows = [(i, "\n".join(rng.choice("abcd") for _ in range(rng.randint(1, 14)))) for i in range(60)]
+    rows = [(i, "\n".join(rng.choice(["a", "b", "c", "dd", ""]) for _ in range(rng.randint(1, 24)))) for i in range(80)]
+    for i in range(20):  # copies of stretches, moved and inside one text
+        lines = rows[i][1].split("\n")
+        rows.append((100 + i, "\n".join([f"own {i}", *lines[i % 3 : 12], "x", *lines[4:], *lines[: i % 9]])))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, line_dedup.Settings(gram, window)).collect()}
-    assert got == lines_by_definition(rows, gram + window - 1)
+    got = {r.doc_id: (r.text, r.n_removed, r.n_runs) for r in line_dedup.dedup_lines(df, line_dedup.Settings(gram, window, alone)).collect()}
+    assert got == lines_by_definition(rows, gram + window - 1, alone)
+
 
+def test_fewer_positions_than_lines(spark):
+    """Of random lines, two of `window + 1` windows select another one; each window belongs to one selected position."""
+    rng = random.Random(4)
+    rows = [(i, 0, [str(rng.random()) for _ in range(200)]) for i in range(20)]
+    got = line_dedup.minima(spark.createDataFrame(rows, "doc long, same long, lines array<string>"), line_dedup.Settings(alone=None)).collect()
+    assert len(got) == pytest.approx(0.4 * 200 * 20, rel=0.1)
+    assert sum(len(r.runs) for r in got) == 197 * 20
+    for i in range(20):
+        own = sorted((r.at, len(r.runs)) for r in got if r.doc == i)
+        assert [a for a, _ in own] == list(np.cumsum([0, *(n for _, n in own[:-1])]))
 
-def test_lines_that_count_alone(spark):
-    """A long line without a repeated neighbour and a one-line text go after their first occurrence; empty and short ones stay."""
+
+def test_passages_of_few_lines(spark):
+    """A long line without a repeated neighbour and a short text go after their first occurrence; empty and short ones stay."""
     long, other = "a long line of many words " * 4, "x" * 100
-    rows = [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd\n{other}"), (3, long), (4, "short"), (5, "short"), (6, ""), (7, ""), (8, "e\nshort\n\nf"), (9, f"{other}\ng\n{other}"), (10, f"a\n{long}\nh")]
+    rows = [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd\n{other}"), (3, long), (4, "short"), (5, "short"), (6, ""), (7, ""), (8, "e\nshort\n\nf"), (9, f"{other}\ng\n{other}"), (10, f"a\n{long}\nh"), (11, "p\nq"), (12, "p\nq")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r.doc_id: (r.text, r.n_removed, r.n_runs) for r in line_dedup.dedup_lines(df, line_dedup.Settings(alone=100)).collect()}
-    want = dict(rows) | {2: f"c\nd\n{other}", 3: "", 5: "", 9: "g", 10: "h"}
+    want = dict(rows) | {2: f"c\nd\n{other}", 3: "", 5: "", 9: "g", 10: "a\nh", 12: ""}
     assert {k: v[0] for k, v in got.items()} == want
-    assert [got[k][1:] for k in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10)] == [(0, 0), (1, 1), (1, 1), (0, 0), (1, 1), (0, 0), (0, 0), (0, 0), (2, 2), (2, 1)]
+    assert [got[k][1:] for k in range(1, 13)] == [(0, 0), (1, 1), (1, 1), (0, 0), (1, 1), (0, 0), (0, 0), (0, 0), (2, 2), (1, 1), (0, 0), (2, 1)]
+
+
+def test_null_texts_in_lines_and_sql(spark, tmp_path):
+    import duckdb
+
+    rows = [(1, None), (2, "a\nb\nc\nd"), (3, "x\na\nb\nc\nd"), (4, ""), (5, "only"), (6, "only")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    same(queries.QUERIES["op9_line_winnowing"](spark, str(tmp_path)), con, queries.ORACLES["op9_line_winnowing"])
 
 
 def test_native_plans_hold_no_python(spark, sf):
