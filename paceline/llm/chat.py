@@ -30,6 +30,8 @@ START, END = "<|im_start|>", "<|im_end|>"
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ESCAPE, _UNESCAPE = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 _PIECE = 1 << 14
+#: A blank after anything else always begins a new piece of the splitting pattern.
+_BREAK = re.compile(r"(?<=\S)[ \n]")
 
 
 @lru_cache(2)
@@ -59,14 +61,35 @@ def unescape_role(s: str) -> str:
     return unescape(re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], s))
 
 
+def encode(text: str, enc) -> list[int]:
+    """The tokenizer's own ids of the whole text, which is handed to it in parts that end where its pieces do."""
+    out, at = [], 0
+    while len(text) - at > 2 * _PIECE:
+        m = _BREAK.search(text, at + _PIECE)
+        if not m:
+            break
+        out += enc.encode_ordinary(text[at : m.start()])
+        at = m.start()
+    return out + enc.encode_ordinary(text[at:] if at else text)
+
+
+@lru_cache(4096)
+def _head(role: str, path: str) -> tuple[int, ...]:
+    enc, start, _ = encoding(path)
+    return (start, *encode(escape_role(role), enc), *enc.encode_ordinary("\n"))
+
+
+@lru_cache(2)
+def _tail(path: str) -> tuple[int, ...]:
+    enc, _, end = encoding(path)
+    return (end, *enc.encode_ordinary("\n"))
+
+
 def encode_turn(role: str, text: str, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids and loss mask of one turn."""
-    enc, start, end = encoding(path)
-    t = escape(text)
-    said = [i for at in range(0, len(t), _PIECE) for i in enc.encode_ordinary(t[at : at + _PIECE])]
-    newline = enc.encode_ordinary("\n")
-    head = [start, *enc.encode_ordinary(escape_role(role)), *newline]
-    ids = np.array([*head, *said, end, *newline], np.int32)
+    head, tail = _head(role, path), _tail(path)
+    said = encode(escape(text), encoding(path)[0])
+    ids = np.array([*head, *said, *tail], np.int32)
     step = np.zeros(len(ids) + 1, np.int8)
     if role == "assistant":
         step[len(head)] += 1
@@ -74,22 +97,31 @@ def encode_turn(role: str, text: str, path: str) -> tuple[np.ndarray, np.ndarray
     return ids, np.cumsum(step[:-1], dtype=np.int8)
 
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of lists behind each other, and where each begins and ends."""
+    return column.values.to_numpy(), column.offsets.to_numpy()
+
+
 def format_chats(turns: DataFrame, tokenizer: str = TOKENIZER, part: int = 1 << 16) -> DataFrame:
     """conv_id, part, input_ids, loss_mask: the tokens of every conversation, its parts in order in one partition."""
     arrow = pa.schema([("conv_id", pa.int64()), ("part", pa.int32()), ("input_ids", pa.list_(pa.int32())), ("loss_mask", pa.list_(pa.int8()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        conv, n, held = None, 0, []
+        conv, n, held, size = None, 0, [], 0
         begun = False
 
         def flush(conv, n: int) -> None:
+            nonlocal size
             ids, mask = (np.concatenate(x) for x in zip(*held, strict=True))
             rows.append((conv, n, ids, mask))
             held.clear()
+            size = 0
 
         def batch() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)], schema=arrow)
+            edges = pa.array(np.cumsum([0, *(len(r[2]) for r in rows)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(edges, pa.array(np.concatenate([r[k] for r in rows]), arrow[k].type.value_type)) for k in (2, 3)]
+            out = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), *lists], schema=arrow)
             rows.clear()
             return out
 
@@ -101,10 +133,12 @@ def format_chats(turns: DataFrame, tokenizer: str = TOKENIZER, part: int = 1 <<
                     conv, n, begun = c, 0, True
                 ids, mask = encode_turn(role or "", text or "", tokenizer)
                 for at in range(0, len(ids), part):
-                    if held and sum(len(h[0]) for h in held) + len(ids[at : at + part]) > part:
+                    some = len(ids[at : at + part])
+                    if held and size + some > part:
                         flush(conv, n)
                         n += 1
                     held.append((ids[at : at + part], mask[at : at + part]))
+                    size += some
                 if len(rows) >= 64:
                     yield batch()
         if held:
@@ -130,37 +164,46 @@ def digests(parts: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
             return {"n": 0, "turns": hashlib.sha256(), "loss": hashlib.sha256(), "chars": 0, "all": 0, "ids": [], "mask": []}
 
         def close(s: dict) -> tuple:
-            s["all"] += len(enc.decode_bytes(s["ids"]).decode())
+            s["all"] += len(text_of(s["ids"]).decode())
             return conv, s["n"], s["turns"].hexdigest(), s["chars"], s["loss"].hexdigest(), s["all"]
 
-        def turn(s: dict, ids: list[int], mask: list[int]) -> None:
+        def text_of(parts: list[np.ndarray]) -> bytes:
+            return enc.decode_bytes(np.concatenate(parts).tolist()) if sum(map(len, parts)) else b""
+
+        def turn(s: dict) -> None:
             """From one START's next id to its END."""
-            head, _, text = enc.decode_bytes(ids).partition(b"\n")
+            whole = text_of(s["ids"])
+            head, _, text = whole.partition(b"\n")
             s["n"] += 1
-            s["turns"].update(f"{unescape_role(head.decode())}\n{unescape(text.decode())}\n".encode())
-            s["all"] += len(START) + len((head + b"\n" + text).decode()) + len(END)
-            if any(mask):
-                said = unescape(enc.decode_bytes([i for i, m in zip(ids, mask, strict=True) if m]).decode())
+            plain = unescape(text.decode())
+            s["turns"].update(f"{unescape_role(head.decode())}\n{plain}\n".encode())
+            s["all"] += len(START) + len(whole.decode()) + len(END)
+            under = np.concatenate(s["mask"]) if s["mask"] else np.zeros(0, np.int8)
+            if under.any():
+                said = unescape(enc.decode_bytes(np.concatenate(s["ids"])[under > 0].tolist()).decode())
                 s["chars"] += len(said)
                 s["loss"].update(said.encode())
 
         for b in batches:
-            for c, _, ids, mask in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+            (ids, edges), (mask, _) = _lists(b.column(2)), _lists(b.column(3))
+            marks = np.flatnonzero((ids == start) | (ids == end))
+            bounds = np.searchsorted(marks, edges)
+            for row, c in enumerate(b.column(0).to_pylist()):
                 if begun and c != conv:
                     rows.append(close(state))
                 if not begun or c != conv:
                     conv, state, begun = c, fresh(), True
-                at = 0
-                for i, x in enumerate(ids):
-                    if x == start:
-                        state["ids"] += ids[at:i]
-                        state["all"] += len(enc.decode_bytes(state["ids"]).decode())
-                        state["ids"], state["mask"], at = [], [], i + 1
-                    elif x == end:
-                        turn(state, state["ids"] + ids[at:i], state["mask"] + mask[at:i])
-                        state["ids"], state["mask"], at = [], [], i + 1
-                state["ids"] += ids[at:]
-                state["mask"] += mask[at:]
+                at = edges[row]
+                for i in marks[bounds[row] : bounds[row + 1]].tolist():
+                    state["ids"].append(ids[at:i])
+                    state["mask"].append(mask[at:i])
+                    if ids[i] == end:
+                        turn(state)
+                    else:
+                        state["all"] += len(text_of(state["ids"]).decode())
+                    state["ids"], state["mask"], at = [], [], i + 1
+                state["ids"].append(ids[at : edges[row + 1]])
+                state["mask"].append(mask[at : edges[row + 1]])
             if len(rows) >= 256:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)], schema=arrow)
                 rows.clear()

@@ -594,3 +594,11 @@ def test_escapes_round_trip(text):
     _, start, end = chat.encoding(chat.TOKENIZER)
     assert (ids == start).sum() == (ids == end).sum() == 1
     assert mask.sum() == len(ids) - len(chat.encode_turn("assistant", "", chat.TOKENIZER)[0])
+
+
+@pytest.mark.parametrize("text", ["some words, and 12 numbers!\n\n  here " * 2700, "a" * 100_000, ("x" * 997 + "'s  \t\n ") * 100, "naïve 日本 🙂\u00a0\u2003  y" * 6000, "<|" * 40_000])
+def test_long_texts_get_the_tokenizers_own_ids(text):
+    enc, _, _ = chat.encoding(chat.TOKENIZER)
+    assert chat.encode(text, enc) == enc.encode_ordinary(text)
+    ids, mask = chat.encode_turn("assistant", text, chat.TOKENIZER)
+    assert ids[mask > 0].tolist() == enc.encode_ordinary(chat.escape(text))
