@@ -72,11 +72,71 @@ def test_reordered_passage_is_found(spark):
     b = spark.createDataFrame([(7, item)], "item_id long, text string")
     r = decontaminate.contaminated(d, b).collect()
     assert [(x.doc_id, x.item_id, x.n_tiles, x.coverage) for x in r] == [(1, 7, 2, 1.0)]
-    blocks = decontaminate.contaminated(d, b.unionByName(b.withColumn("item_id", F.lit(8).cast("long"))), decontaminate.Settings(block=100)).collect()
+    blocks = decontaminate.contaminated(d, b.unionByName(b.withColumn("item_id", F.lit(8).cast("long")))).collect()
     assert sorted((x.doc_id, x.item_id) for x in blocks) == [(1, 7), (1, 8)]
     assert [x.doc_id for x in decontaminate.clean(d, b).orderBy("doc_id").collect()] == [2, 3]
 
 
+def test_found_items_by_brute_force(spark):
+    """Every pair of text and item whose greedy tiles cover enough, and no other, with common runs and reordered parts."""
+    rng = random.Random(6)
+    items = [(i, [f"w{rng.randrange(400)}" for _ in range(rng.choice([2, 4, 7, 12, 30, 60]))]) for i in range(24)]
+    common = "this run of seven words is common".split()
+    items = [(i, [*common, *w] if i % 3 == 0 else w) for i, w in items]
+    docs_ = []
+    for d in range(60):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.randint(0, 60))] + (common if d % 2 else [])
+        for _ in range(rng.randint(0, 3)):
+            own = rng.choice(items)[1]
+            cut, lost = rng.randrange(len(own)), rng.randrange(len(own))
+            part = own[cut:] + (["other"] if rng.random() < 0.5 else []) + own[:cut]
+            at = rng.randint(0, len(words))
+            words[at:at] = part[lost:] if rng.random() < 0.4 else part
+        docs_.append((d, words))
+    want = set()
+    for d, words in docs_:
+        for i, own in items:
+            code = {w: k for k, w in enumerate({*words, *own})}
+            n = greedy_tiles([code[w] for w in words], [code[w] for w in own], min(5, len(own)))
+            if n >= 0.6 * len(own):
+                want.add((d, i, n))
+    df = spark.createDataFrame([(d, ", ".join(w)) for d, w in docs_], "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.n_covered) for r in decontaminate.contaminated(df, b).collect()}
+    assert len(want) > 30
+    assert got == want
+    assert {r.doc_id for r in decontaminate.clean(df, b).collect()} == {d for d, _ in docs_} - {d for d, *_ in want}
+
+
+def test_items_of_other_scripts_and_few_words(spark):
+    items = [(1, "这是一个用来测试的句子，它没有空格。"), (2, "two plus two four"), (3, '"Don\'t stop," she said - and went on.'), (4, "ﬁne Ｆｕｌｌ width words here"), (5, "ภาษาไทยไม่มีช่องว่าง")]
+    texts = ["前言。这是一个用来测试的句子，它没有空格。后记", "we say: Two plus two, four!", "x “Don’t stop,” she said — and went on. y", "fine full width words here", "คำนำ ภาษาไทยไม่มีช่องว่าง", "two plus four two", "这是另外一句话"]
+    d = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
+    b = spark.createDataFrame([*items, (2, "two plus two four")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.contaminated(d, b).collect()) == [(1, 1), (2, 2), (2, 2), (3, 3), (4, 4), (5, 5)]
+
+
+def test_runs_of_one_word_end(spark):
+    import time
+
+    began = time.time()
+    assert sum(n for *_, n in decontaminate.tiles([1] * 2000, [1] * 200, 5)) == 200
+    assert time.time() - began < 3
+
+
+def test_bitmap_misses_no_seed():
+    rng = np.random.default_rng(1)
+    seeds = rng.integers(0, 1 << 64, 2000, dtype=np.uint64)
+    for bits in (12, 26):
+        slot = seeds >> np.uint64(64 - bits)
+        words = np.zeros(1 << (bits - 6), np.uint64)
+        np.bitwise_or.at(words, (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63)))
+        at = np.flatnonzero(words)
+        b = decontaminate.Bitmap(at, words[at].view(np.int64), bits)
+        assert b.has(seeds).all()
+        assert b.has(rng.integers(0, 1 << 64, 2000, dtype=np.uint64)).mean() < 0.5
+
+
 def test_benchmark_passages_are_found(spark, sf, docs):
     norm = lambda t: " ".join(re.findall(r"[^\W_]+", t.lower()))
     items = [(r.item_id, norm(r.text)) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
