@@ -7,11 +7,15 @@
    star-shaped edges from its smallest id to the others, so candidate edges never outnumber bucket rows; the centres of
    one text are then joined to the smallest of them, so that it keeps one edge.
 3. Any two similar sets share a bucket, but for a chance of about 1e-6, hence a star and a component of candidate
-   edges. Components are dealt in blocks of `block` sets; each pair of blocks is searched exactly, on full sets, by
-   growing clusters from a centre over those not yet reached. So no link is lost that a centre itself doesn't have, and
-   no task holds more than two blocks. Clusters come out as stars, and components of those are the result.
+   edges. Components are dealt in blocks of `block` sets; a block, or two that meet, are searched exactly, on full sets,
+   by growing clusters from a centre over those not yet reached. No task holds more than two blocks.
+4. Of a component of several blocks, one block first meets all others. What it links is one cluster with it, mostly
+   nearly all. Then those outside of their component's largest cluster meet all blocks, in rounds of doubling size,
+   until none is left that hasn't. Two sets of different clusters are not both in the largest one, so one of them has
+   met the other: no link is lost. Clusters come out as stars, and components of those are the result.
 
-The cost is linear in the rows but for the different texts of one candidate component, whose blocks meet in pairs.
+The cost is linear in the rows, and in the different texts of a candidate component, if most of them hang together. Only
+one of many texts that are linked with few others costs the square of those.
 
 Edge cases: null or empty texts have empty sets and are linked with nothing; a row with a null id keeps to itself (its
 component_id is null, and it is kept); repeated rows share a component; fewer than k words count as one shingle; an
@@ -23,6 +27,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -150,15 +155,15 @@ def _links(percent: int):
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs if p[0] != p[1]], pa.int64()) for k in (0, 1)], schema=arrow)
 
         for b in batches:
-            for task, members in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            held = b.column(2)
+            for k, (task, name) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
                 if at is not None and task != at:
                     if len(ids) > 1:
                         yield solve()
                     ids, sets = [], []
                 at = task
-                for m in members:
-                    ids.append(m["id"].as_py())
-                    sets.append(np.frombuffer(m["set"].as_buffer(), np.uint64))
+                ids.append(name)
+                sets.append(np.frombuffer(held[k].as_buffer(), np.uint64))
         if len(ids) > 1:
             yield solve()
 
@@ -182,7 +187,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
     hung = written(stars.groupBy("b").agg(F.min("a").alias("low"), F.collect_set("a").alias("every")), "stars")
     between = hung.select(F.col("low").alias("a"), F.explode(F.array_remove("every", F.col("low"))).alias("b")).distinct()
     candidates = components(hung.select(F.col("low").alias("a"), "b").unionByName(between))
-    # blocks of each component, and their pairs
+    # blocks of each component
     sized = candidates.groupBy("component").count()
     dealt = candidates.join(sized, "component").select("node", "component", F.ceil(F.col("count") / settings.block).cast("int").alias("blocks"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -194,15 +199,50 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
         return {"id": cols["node"], "component": cols["component"], "block": cols["block"], "blocks": cols["blocks"], "set": sets}
 
     sets = arrow_map(own.join(dealt.hint("merge"), "node").select("node", "component", "block", "blocks", "text"), "id long, component long, block int, blocks int, set binary", of_batch, 256)
-    packed = sets.groupBy("component", "blocks", "block").agg(F.collect_list(F.struct("id", "set")).alias("members"))
-    other = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("block"))))
-    tasks = packed.select("component", "block", "members", other.alias("other"))
-    tasks = tasks.select(F.struct("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).alias("task"), "members")
-    pairs = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_links(settings.percent), "a long, b long")
-    found = components(pairs).select(F.col("node").alias("rep"), "component")
+    sets = written(sets, "sets")  # only of texts with candidates, and read in every round
+    links = [solved(sets.where("blocks = 1").select(F.struct("component", F.lit(0).alias("i"), F.lit(0).alias("j")).alias("task"), "id", "set"), settings)]
+    links += large_components(sets.where("blocks > 1"), settings)
+    found = components(reduce(DataFrame.unionByName, links)).select(F.col("node").alias("rep"), "component")
     out = member.join(found, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def solved(tasks: DataFrame, settings: Settings) -> DataFrame:
+    """Links within each task, from rows of task, id and set; a row may stand in many tasks."""
+    return written(tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_links(settings.percent), "a long, b long"), "links")
+
+
+def large_components(sets: DataFrame, settings: Settings) -> list[DataFrame]:
+    """Links that connect what is linked in components of several blocks, without meeting every pair of blocks."""
+    pivots, links, rounds = sets.where("block = 0").select("id", "component", "blocks", F.lit(0).alias("i"), "set"), [], 0
+    if sets.isEmpty():
+        return links
+    done = pivots.select("id")
+    while True:
+        # each block of pivots with each block, and in the first round each block by itself
+        to = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j")
+        asked = pivots.select("component", "i", to, "id", "set")
+        blocks = pivots.select("component", "i").distinct()
+        met = sets.withColumnRenamed("block", "j").join(blocks, "component").select("component", "i", "j", "id", "set")
+        tasks = asked.unionByName(met).select(F.struct("component", "i", "j").alias("task"), "id", "set")
+        links.append(solved(tasks, settings))
+        # who is outside of the largest cluster and hasn't met all
+        of = components(reduce(DataFrame.unionByName, links)).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+        labelled = written(sets.select("id", "component", "blocks").join(of, "id", "left").withColumn("cluster", F.coalesce("cluster", "id")), "labelled")
+        largest = labelled.groupBy("component", "cluster").count().groupBy("component").agg(F.max(F.struct("count", "cluster")).alias("top")).select("component", F.col("top.cluster").alias("top"))
+        outside = labelled.join(largest, "component").where("cluster != top").join(done, "id", "left_anti")
+        rounds += 1
+        left = written(outside.select("id", "component"), "outside")
+        if left.isEmpty():
+            return links
+        # as many of them as 2, 4, 8 ... blocks hold
+        many = left.groupBy("component").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("parts"))
+        order = F.pmod(F.xxhash64("id", F.lit(rounds)), F.col("parts")).cast("int")
+        chosen = left.join(many, "component").withColumn("i", order).where(F.col("i") < 2**rounds).select("id", "i")
+        chosen = written(chosen, "pivots")
+        done = done.unionByName(chosen.select("id"))
+        pivots = sets.drop("block").join(chosen, "id").select("id", "component", "blocks", "i", "set")
+
+
 def op7_near_duplicates(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), Settings(words=3, percent=85))

@@ -478,6 +478,30 @@ def test_components_by_definition(spark, docs, k, percent, block):
     assert got == components_by_definition(rows, k, percent)
 
 
+def test_large_components_cost_in_proportion(spark, monkeypatch):
+    """Sets that are sent for different, near-identical texts of one component: twice the texts, about twice the rows."""
+    sent, solved = [], minhash.solved
+
+    def counted(tasks, settings):
+        sent[-1] += tasks.count()
+        return solved(tasks, settings)
+
+    monkeypatch.setattr(minhash, "solved", counted)
+    for n in (500, 1000):
+        rng = random.Random(n)
+        rows = []
+        for i in range(n):
+            words = [f"w{k}" for k in range(60)]
+            words[rng.randrange(60)] = f"e{i}"
+            rows.append((i, " ".join(words)))
+        sent.append(0)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        got = minhash.near_duplicates(df, minhash.Settings(words=3, percent=85, block=16))
+        assert got.where("kept").count() == 1
+    assert sent[0] < 12 * 500
+    assert sent[1] < 2.5 * sent[0]
+
+
 def test_densified_values_agree_like_the_sets():
     rng = np.random.default_rng(4)
     agree = []
