@@ -24,7 +24,7 @@ def operators(spark):
     items = spark.createDataFrame([(1, "alpha beta gamma delta alpha beta"), (2, "short"), (3, None), (None, "never seen words in this corpus at all")], "item_id long, text string")
     return {
         "decontaminate": lambda d: decontaminate.contaminated(d, items), "mixing": lambda d: mixing.mix_sources(d), "suffix": lambda d: suffix_dedup.remove_repeats(d, suffix_dedup.Settings(least_chunks=3)),
-        "sharding": lambda d: sharding.deal(d.select("doc_id", "text"), 4), "pii": lambda d: pii.find(d, pii.Model()), "langid": lambda d: langid.identify(d, langid.fit(d, F.lit(True))),
+        "sharding": lambda d: sharding.deal(d.select("doc_id", "text"), 4), "pii": lambda d: pii.find(d, pii.fit(d)), "langid": lambda d: langid.identify(d, langid.fit(d, F.lit(True))),
         "minhash": lambda d: minhash.near_duplicates(d), "jpeg": lambda d: media_jpeg.thumbnails(media_jpeg.store(d)), "lines": lambda d: line_dedup.dedup_lines(d), "clean": lambda d: decontaminate.clean(d, items),
         "identified": lambda d: langid.identified(d, langid.fit(d, F.lit(True))),
     }
