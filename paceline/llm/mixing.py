@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import written
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -89,35 +91,50 @@ def plan(tokens: dict[str, tuple[int, int]], s: Settings) -> list[tuple[str, flo
     return out
 
 
-def mix_sources(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The chosen rows with their columns and _tokens, _weight, _epoch, _block; a row stands once for each epoch it is in."""
-    words = F.when(F.trim(F.col(text)) == "", 0).otherwise(F.size(F.split(F.trim(F.col(text)), "\\s+")))
-    own = docs.withColumns({
-        "_source": F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null")),
-        "_tokens": F.coalesce(words, F.lit(0)).cast("long"),
-        "_h": F.when(F.col(key).isNull(), F.xxhash64(F.col(text), F.lit(settings.seed))).otherwise(F.xxhash64(F.col(key), F.lit(settings.seed))),
-    })
-    rows = own.groupBy("_source").agg(F.sum("_tokens"), F.count("*")).limit(settings.most_sources + 1).collect()
+def mixed_rows(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text", source: str = "source", keep: list[str] | None = None) -> DataFrame:
+    """row (a struct of the chosen row's columns, or of those of `keep`), tokens, weight, epoch and block; a row stands once for each epoch it is in.
+
+    Texts are read once, to count their tokens; what is kept of the rows is written with that.
+    """
+    names = docs.columns if keep is None else keep
+    h = F.when(F.col(key).isNull(), F.xxhash64(F.col(text), F.lit(settings.seed))).otherwise(F.xxhash64(F.col(key), F.lit(settings.seed)))
+    counted = written(
+        docs.select(
+            F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
+            F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null")).alias("source"),
+            F.coalesce(F.regexp_count(F.col(text), F.lit("\\S+")), F.lit(0)).cast("long").alias("tokens"),
+            h.alias("h"),
+            F.xxhash64(F.col(text)).alias("tie"),
+        ),
+        "counted",
+    )
+    rows = counted.groupBy("source").agg(F.sum("tokens"), F.count("*")).limit(settings.most_sources + 1).collect()
     if len(rows) > settings.most_sources:
         raise ValueError(f"more than {settings.most_sources} sources")
-    spark = docs.sparkSession
-    planned = spark.createDataFrame(plan({r[0]: (r[1], r[2]) for r in rows}, settings), "_source string, _weight double, _epochs long, _rest long, _blocks int")
-    dealt = own.join(F.broadcast(planned), "_source").withColumn("_block", F.pmod(F.col("_h"), F.col("_blocks")).cast("int"))
-    out = [c for c in docs.columns] + ["_tokens", "_weight", "_epoch", "_block"]
-    whole = dealt.where("_epochs > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_epochs") - 1))).select(*out)
+    planned = docs.sparkSession.createDataFrame(plan({r[0]: (r[1], r[2]) for r in rows}, settings), "source string, weight double, epochs long, rest long, blocks int")
+    dealt = counted.join(F.broadcast(planned), "source").withColumn("block", F.pmod(F.col("h"), F.col("blocks")).cast("int"))
+    out = ["row", "tokens", "weight", "epoch", "block"]
+    whole = dealt.where("epochs > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("epochs") - 1))).select(*out)
     # the rest: blocks in the order of the next epoch, up to the budget
-    order = F.xxhash64("_source", "_block", "_epochs", F.lit(settings.seed))
-    by_block = dealt.where("_rest > 0").groupBy("_source", "_block", "_epochs", "_rest").agg(F.sum("_tokens").alias("_size"))
-    up = Window.partitionBy("_source").orderBy(order, "_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = by_block.withColumn("_end", F.sum("_size").over(up)).where(F.col("_end") - F.col("_size") < F.col("_rest"))
-    cut = cut.select("_source", "_block", F.when(F.col("_end") <= F.col("_rest"), F.lit(None)).otherwise(F.col("_rest") - F.col("_end") + F.col("_size")).alias("_left"))
-    part = dealt.where("_rest > 0").join(cut, ["_source", "_block"]).withColumn("_epoch", F.col("_epochs"))
-    inside = Window.partitionBy("_source", "_block").orderBy(F.xxhash64("_h", "_epochs"), "_h", "_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = part.where("_left is not null").withColumn("_end", F.sum("_tokens").over(inside)).where("_end <= _left")
-    return whole.unionByName(part.where("_left is null").select(*out)).unionByName(edge.select(*out))
+    order = F.xxhash64("source", "block", "epochs", F.lit(settings.seed))
+    by_block = dealt.where("rest > 0").groupBy("source", "block", "epochs", "rest").agg(F.sum("tokens").alias("size"))
+    up = Window.partitionBy("source").orderBy(order, "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = by_block.withColumn("end", F.sum("size").over(up)).where(F.col("end") - F.col("size") < F.col("rest"))
+    cut = cut.select("source", "block", F.when(F.col("end") <= F.col("rest"), F.lit(None)).otherwise(F.col("rest") - F.col("end") + F.col("size")).alias("left"))
+    # at most `most_blocks` rows of each source
+    part = dealt.where("rest > 0").join(cut, ["source", "block"]).withColumn("epoch", F.col("epochs"))
+    inside = Window.partitionBy("source", "block").orderBy(F.xxhash64("h", "epochs"), "h", "tokens", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edge = part.where("left is not null").withColumn("end", F.sum("tokens").over(inside)).where("end <= left")
+    return whole.unionByName(part.where("left is null").select(*out)).unionByName(edge.select(*out))
+
+
+def mix_sources(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The chosen rows with their columns and _tokens, _weight, _epoch, _block; the rows' own columns of these names give way."""
+    out = mixed_rows(docs, settings, key, text, source)
+    own = ("tokens", "weight", "epoch", "block")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c not in {f"_{n}" for n in own}], *[F.col(n).alias(f"_{n}") for n in own])
 
 
 def op2_temperature_mixture(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    out = mix_sources(docs)
-    return out.select("doc_id", "source", F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), F.col("_tokens").alias("n_tokens"), F.round("_weight", 9).alias("weight"))
+    out = mixed_rows(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep=["doc_id", "source"])
+    return out.select("row.doc_id", "row.source", "epoch", "block", F.col("tokens").alias("n_tokens"), F.round("weight", 9).alias("weight"))

@@ -55,23 +55,25 @@ def place(counts: Sequence[tuple[int, int]], shards: int, nodes: int) -> list[tu
 
 
 def deal(rows: DataFrame, shards: int, nodes: int = 64, key: str = "doc_id") -> DataFrame:
-    """The rows with shard and slot, gapless from 0 in each shard; all columns of `rows` are part of a row's identity."""
-    names = rows.columns
-    counted = rows.groupBy(*names).agg(F.count("*").alias("_n"))
-    hashed = counted.withColumn("_h", F.when(F.col(key).isNull(), F.xxhash64(*names)).otherwise(F.xxhash64(key)))
-    celled = hashed.withColumn("_cell", F.pmod(F.col("_h"), F.lit(CELLS)).cast("int"))
+    """The rows with shard and slot, gapless from 0 in each shard; all columns of `rows` are part of a row's identity.
+
+    Columns of the rows that are named shard or slot give way.
+    """
+    names = [c for c in rows.columns if c not in ("shard", "slot")]
+    h = F.when(F.col(f"`{key}`").isNull(), F.xxhash64(*[F.col(f"`{c}`") for c in names])).otherwise(F.xxhash64(F.col(f"`{key}`")))
+    cell = F.pmod("h", F.lit(CELLS)).cast("int").alias("cell")
+    keyed = rows.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), h.alias("h"))
+    counted = keyed.groupBy("row", "h").agg(F.count("*").alias("n")).select("row", "h", "n", cell)
     # one row for each cell: a fixed number, however many rows there are
-    key_of = F.when(F.col(key).isNull(), F.xxhash64(*names)).otherwise(F.xxhash64(key))
-    counts = [(r[0], r[1]) for r in rows.groupBy(F.pmod(key_of, F.lit(CELLS)).cast("int").alias("_cell")).count().collect()]
-    spark = rows.sparkSession
-    plan = spark.createDataFrame(place(counts, shards, nodes), "_cell int, _from long, _to long, shard int, _slot long")
-    order = Window.partitionBy("_cell").orderBy("_h", *names).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = celled.withColumn("_end", F.sum("_n").over(order)).withColumn("_begin", F.col("_end") - F.col("_n"))
+    counts = [(r[0], r[1]) for r in keyed.groupBy(cell).count().collect()]
+    plan = rows.sparkSession.createDataFrame(place(counts, shards, nodes), "cell int, since long, upto long, shard int, slot long")
+    order = Window.partitionBy("cell").orderBy("h", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = counted.withColumn("end", F.sum("n").over(order)).withColumn("begin", F.col("end") - F.col("n"))
     # at most 2^16 cells and as many pieces again as shards were full
-    met = numbered.join(F.broadcast(plan), "_cell").where((F.col("_begin") < F.col("_to")) & (F.col("_from") < F.col("_end")))
-    first, last = F.greatest("_begin", "_from"), F.least("_end", "_to")
-    slots = F.explode(F.sequence(first, last - 1)).alias("_at")
-    return met.select(*names, "shard", "_from", "_slot", slots).select(*names, "shard", (F.col("_slot") + F.col("_at") - F.col("_from")).alias("slot"))
+    met = numbered.join(F.broadcast(plan), "cell").where((F.col("begin") < F.col("upto")) & (F.col("since") < F.col("end")))
+    at = F.explode(F.sequence(F.greatest("begin", "since"), F.least("end", "upto") - 1)).alias("at")
+    fields = [F.col("row").getField(c).alias(c) for c in names]
+    return met.select("row", "shard", "since", "slot", at).select(*fields, "shard", (F.col("slot") + F.col("at") - F.col("since")).alias("slot"))
 
 
 def op4_bounded_ring(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ def operators(spark):
     items = spark.createDataFrame([(1, "alpha beta gamma delta alpha beta"), (2, "short"), (3, None), (None, "never seen words in this corpus at all")], "item_id long, text string")
     return {
         "decontaminate": lambda d: decontaminate.contaminated(d, items), "mixing": lambda d: mixing.mix_sources(d), "suffix": lambda d: suffix_dedup.remove_repeats(d, suffix_dedup.Settings(least_chunks=3)),
-        "sharding": lambda d: sharding.deal(d.select("doc_id", "text"), 4), "pii": lambda d: pii.find(d, pii.fit(d)), "langid": lambda d: langid.identify(d, langid.fit(d, F.lit(True))),
+        "sharding": lambda d: sharding.deal(d, 4), "pii": lambda d: pii.find(d, pii.fit(d)), "langid": lambda d: langid.identify(d, langid.fit(d, F.lit(True))),
         "minhash": lambda d: minhash.near_duplicates(d), "jpeg": lambda d: media_jpeg.thumbnails(media_jpeg.store(d)), "lines": lambda d: line_dedup.dedup_lines(d), "clean": lambda d: decontaminate.clean(d, items),
         "identified": lambda d: langid.identified(d, langid.fit(d, F.lit(True))),
     }
@@ -89,6 +89,28 @@ def test_odd_mixture(spark, odd):
     assert got.where("_tokens < 0 or _tokens is null").count() == 0
 
 
+def test_clashing_names_keep_their_values(spark):
+    """Columns with the names that operators use inside come back as they were; those of their results give way."""
+    inside = ("_h", "_n", "_from", "_to", "_slot", "_source", "_cell", "row", "h", "n", "cell", "end", "block", "tokens", "epochs", "rest", "weight", "t", "u", "node", "tie")
+    rows = [(i, f"text of {i % 7}", f"s{i % 2}", i % 3, *[-7 - k for k in range(len(inside))], 99) for i in range(40)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "source", "shard", *inside, "_block"]).repartition(3)
+    want = {r.doc_id: tuple(r[c] for c in ("text", "source", *inside)) for r in df.collect()}
+    value = lambda r: tuple(r[c] for c in ("text", "source", *inside))
+    dealt = sharding.deal(df, 4)
+    assert dealt.columns == [*[c for c in df.columns if c != "shard"], "shard", "slot"]
+    got = dealt.collect()
+    assert {r.doc_id: value(r) for r in got} == want
+    assert sorted((r.shard, r.slot) for r in got) == [(s, k) for s in range(4) for k in range(10)]
+    mixed = mixing.mix_sources(df)
+    assert mixed.columns == [*[c for c in df.columns if c != "_block"], "_tokens", "_weight", "_epoch", "_block"]
+    got = mixed.collect()
+    assert all(value(r) == want[r.doc_id] and r["_tokens"] == 3 and r["_block"] == 0 and r.shard == r.doc_id % 3 for r in got)
+    items = spark.createDataFrame([(1, "text of 3")], "item_id long, text string")
+    kept = decontaminate.clean(df, items)
+    assert kept.columns == df.columns
+    assert {r.doc_id: value(r) for r in kept.collect()} == {k: v for k, v in want.items() if v[0] != "text of 3"}
+
+
 def test_odd_tiles(spark, odd):
     got = decontaminate.contaminated(odd, spark.createDataFrame([(1, "alpha beta gamma delta alpha beta"), (2, "short")], "item_id long, text string")).collect()
     assert [(r.doc_id, r.item_id, r.coverage) for r in got] == [(5, 1, 1.0)]

@@ -53,3 +53,38 @@ def test_run_equals_its_stages(spark, sf, stages):
     got = corpus_pipeline.run(spark, sf)
     assert got.exceptAll(stages[-1]).count() == 0
     assert got.count() == stages[-1].count()
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in every column, empty and long texts, ties, repeated rows, and names that stages use inside."""
+    texts = [(1, None), (2, ""), (3, "  "), (4, "one"), (5, "alpha beta gamma delta " * 20_000), (None, "no id here at all"), (None, None), (11, "the same words again, twice over"), (12, "the same words again, twice over"), (12, "the same words again, twice over")]
+    rows = [(i, t, None if k % 3 == 0 else "en", None if k % 4 == 0 else "s", None, k, k, "x", "y", 5) for k, (i, t) in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _h long, _source long, rep string, kept string, _block int").repartition(3)
+
+
+@pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
+def test_odd_rows(stage, spark, sf, odd):
+    name, f = corpus_pipeline.STAGES[stage]
+    names = odd.columns
+    empty = f(spark, odd.limit(0), sf)
+    assert empty.count() == 0
+    out = f(spark, odd, sf)
+    assert out.columns == (names if stage < 4 else [*names, "shard", "slot"])
+    given, got = [tuple(r) for r in odd.collect()], [tuple(r)[: len(names)] for r in out.collect()]
+    assert set(got) <= set(given)
+    ids = sorted((g[0] or 0, g[1] or "") for g in got)
+    if name == "language ID":  # without a letter there is no language
+        assert [i for i, t in ids if t.strip() == ""] == []
+    if name == "near-dedup":
+        assert [i for i, _ in ids if i in (11, 12)] == [11]
+        assert len(got) == len(given) - 2
+    if name in ("decontamination", "sharding"):
+        assert sorted(map(str, got)) == sorted(map(str, given))
+    if name == "mixing":
+        assert {4, 5, 11} & {i for i, _ in ids}
+
+
+def test_unlabelled_documents_stay(spark, sf, odd):
+    none = odd.selectExpr("*").drop("lang").selectExpr("*", "cast(null as string) as lang")
+    assert corpus_pipeline.language_id(spark, none, sf).count() == odd.count()

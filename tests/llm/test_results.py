@@ -162,6 +162,23 @@ def test_exponent_meets_its_target():
     assert mixing.exponent(skewed, mixing.Settings(entropy=1.0, repeats=0.5)) == 1
 
 
+def test_weights_by_another_way(spark, docs):
+    """The weights of the query from the definition: shares to a power on a fine grid, the last that keeps the entropy."""
+    got = {r.source: r["_weight"] for r in mixing.mix_sources(docs).select("source", "_weight").distinct().collect()}
+    tokens = {}
+    for r in docs.collect():
+        tokens[r.source] = tokens.get(r.source, 0) + len(re.findall(r"[^ \t\n\x0b\f\r]+", r.text))
+    p = np.array([tokens[k] for k in sorted(tokens)]) / sum(tokens.values())
+    want = None
+    for a in np.linspace(0, 1, 20_001):
+        q = p**a / (p**a).sum()
+        if -(q * np.log(q)).sum() < 0.97 * np.log(len(p)) - 1e-12:
+            break
+        want = q
+    assert max(want / p) < 4
+    assert [got[k] for k in sorted(tokens)] == pytest.approx(list(want), abs=1e-4)
+
+
 def test_mixture_by_brute_force(spark):
     rng = random.Random(5)
     rows = [(i, "src" + str(0 if i % 3 else i % 7), " ".join(["w"] * rng.randint(0, 30))) for i in range(900)]
