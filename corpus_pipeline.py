@@ -8,6 +8,7 @@ more than the stage it was in.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paceline.llm import decontaminate, langid, minhash, mixing, sharding
 from paceline.llm.shared import table, written
@@ -16,12 +17,15 @@ SHARDS = 40
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language the centroids reject; the centroids learn from this stage's own input."""
+    """Drop documents whose language the centroids reject; the centroids learn from this stage's own input.
+
+    Without any label there is nothing to compare with, and all stay.
+    """
     return langid.identified(docs, langid.fit(docs, langid.remainder() != 1))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each group; rows without an id stay."""
+    """Keep the smallest id of each group; rows of one id are one document, and rows without an id stay."""
     gone = minhash.near_duplicates(docs).where("not kept").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
@@ -33,7 +37,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take each source's weight of the token budget; a row that is taken in several epochs is repeated."""
-    return mixing.mix_sources(docs).select(*docs.columns)
+    return mixing.mixed_rows(docs).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
