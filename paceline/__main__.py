@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from .lineage import scratch
 from .plans import registry
 from .session import session
 
@@ -22,13 +23,15 @@ def main() -> None:
     if args.what == "list":
         print("\n".join(sorted(registry.QUERIES)))
         return
-    df = registry.QUERIES[args.query](session(args.master), args.data)
-    if args.explain:
-        df.explain("formatted")
-    elif args.out:
-        df.write.mode("overwrite").parquet(args.out)
-    else:
-        df.show(50, truncate=False)
+    spark = session(args.master)
+    with scratch(spark):
+        df = registry.QUERIES[args.query](spark, args.data)
+        if args.explain:
+            df.explain("formatted")
+        elif args.out:
+            df.write.mode("overwrite").parquet(args.out)
+        else:
+            df.show(50, truncate=False)
 
 
 if __name__ == "__main__":

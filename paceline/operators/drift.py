@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..lineage import written
+
 QUANTILES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 MAX_CATEGORIES = 30
 
@@ -59,30 +63,55 @@ def long_values(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
     return df.select(*keep, each).select(*keep, "_s.*")
 
 
+def exact_quantiles(counted: DataFrame, asked: Sequence[float]) -> DataFrame:
+    """column_name and quantiles (interpolated between neighbours) of values v that occur n times each.
+
+    Values are sorted into ranges, so no task has a whole column: each range is summed up within itself, ranges are
+    offset by those before them, and only ranks that are asked are looked up.
+    """
+    dealt = written(counted.where("v is not null").repartitionByRange("column_name", "v").withColumn("part", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("column_name", "part").agg(F.sum("n").alias("size"))
+    before = Window.partitionBy("column_name").orderBy("part")
+    placed = sizes.withColumn("end", F.sum("size").over(before)).withColumn("total", F.sum("size").over(Window.partitionBy("column_name")))
+    # the ranks asked of each column, and the range each is in
+    ranks = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(asked)])).alias("r")
+    wanted = placed.select("column_name", "part", "size", "end", ranks, ((F.col("total") - 1) * F.col("r.q")).alias("at"))
+    both = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.floor("at").alias("rank")), F.struct(F.lit(1).alias("side"), F.ceil("at").alias("rank")))).alias("s")
+    wanted = wanted.select("column_name", "part", "size", "end", "r.i", "at", both).select("column_name", "part", "i", "at", "s.side", "s.rank", (F.col("end") - F.col("size")).alias("start"), "end")
+    wanted = wanted.where("start <= rank and rank < end").withColumn("rank", F.col("rank") - F.col("start")).drop("start", "end")
+    up = F.sum("n").over(Window.partitionBy("column_name", "part").orderBy("v"))
+    run = dealt.withColumn("upto", up)
+    found = run.join(F.broadcast(wanted), ["column_name", "part"]).where((F.col("upto") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("upto")))
+    one = found.groupBy("column_name", "i", "at").agg(F.max(F.when(F.col("side") == 0, F.col("v"))).alias("a"), F.max(F.when(F.col("side") == 1, F.col("v"))).alias("b"))
+    value = F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.floor("at"))
+    return one.groupBy("column_name").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", value.alias("v")))), lambda x: x["v"]).alias("quantiles"))
+
+
 def reference_quantiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Of each column its null share, quantiles, number of values and decile edges (unique, ascending).
 
-    Values are counted first, so what the exact percentile sees is each distinct value once.
+    Equal values are counted first.
     """
-    asked = [*QUANTILES, *(i / 10 for i in range(11))]
-    counted = long_values(df, columns).groupBy("column_name", "v").agg(F.count("*").alias("n"))
+    counted = written(long_values(df, columns).groupBy("column_name", "v").agg(F.count("*").alias("n")), "values")
     null = F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)) / F.sum("n")
-    per = counted.groupBy("column_name").agg(null.alias("null_share"), F.percentile("v", F.array(*[F.lit(q) for q in asked]), F.col("n")).alias("_q"), F.count("v").alias("n_distinct"))
+    per = counted.groupBy("column_name").agg(null.alias("null_share"), F.count("v").alias("n_distinct"))
     n = len(QUANTILES)
-    return per.select("column_name", "null_share", F.slice("_q", 1, n).alias("quantiles"), "n_distinct", F.array_sort(F.array_distinct(F.slice("_q", n + 1, 11))).alias("edges"))
+    out = per.join(exact_quantiles(counted, [*QUANTILES, *(i / 10 for i in range(11))]).withColumnRenamed("quantiles", "_q"), "column_name", "left")
+    return out.select("column_name", "null_share", F.slice("_q", 1, n).alias("quantiles"), "n_distinct", F.array_sort(F.array_distinct(F.slice("_q", n + 1, 11))).alias("edges"))
 
 
 def bin_number(value: Column, edges: Column) -> Column:
-    """Bin of [edge, next edge) from 0; values outside go to the end bins."""
-    inner = F.slice(edges, 2, F.greatest(F.size(edges) - 2, F.lit(0)))
-    return F.size(F.filter(inner, lambda e: e <= value))
+    """Bin of [edge, next edge) from 0, of at most eleven edges; values outside go to the end bins."""
+    steps = [F.when((F.size(edges) - 1 > i) & (F.get(edges, F.lit(i)) <= value), 1).otherwise(0) for i in range(1, 10)]
+    return reduce(add, steps)
 
 
 def shares(values: DataFrame, reference: DataFrame, *by: str) -> DataFrame:
     """Share of each column's values in each bin of its reference: a value of few, or a decile bin of many."""
-    rows = values.where("v is not null").join(F.broadcast(reference.select("column_name", "n_distinct", "edges")), "column_name")  # a row for each column
+    each = values.where("v is not null").groupBy(*by, "column_name", "v").agg(F.count("*").alias("n"))
+    rows = each.join(F.broadcast(reference.select("column_name", "n_distinct", "edges")), "column_name")  # a row for each column
     cell = F.when(F.col("n_distinct") <= MAX_CATEGORIES, F.col("v")).otherwise(bin_number(F.col("v"), F.col("edges")).cast("double"))
-    per = rows.groupBy(*by, "column_name", cell.alias("cell")).agg(F.count("*").alias("_n"))
+    per = rows.groupBy(*by, "column_name", cell.alias("cell")).agg(F.sum("n").alias("_n"))
     return per.select(*by, "column_name", "cell", (F.col("_n") / F.sum("_n").over(Window.partitionBy(*by, "column_name"))).alias("share"))
 
 

@@ -150,7 +150,7 @@ def recent_window(spark, sf):
 
 @query("SELECT CAST(y AS INTEGER) AS year FROM range(1995, 2003) AS t(y) WHERE y NOT IN (SELECT DISTINCT year(ts_local) FROM v_local) OR y > 2000")
 def years_to_fetch(spark, sf):
-    held = [r[0] for r in v_local(spark, sf).select(F.year("ts_local")).distinct().orderBy("year(ts_local)").limit(100).collect()]
+    held = [r[0] for r in v_local(spark, sf).select(F.year("ts_local")).distinct().collect()]
     return cleaning.years_to_fetch(spark, 1995, 2002, held, 2)
 
 

@@ -317,13 +317,21 @@ def candidate_choice(spark, sf):
 _NUM = ("l_quantity", "l_extendedprice", "l_discount")
 
 
+_DECILES = "[0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1]"
+
+
 @query(
-    "SELECT * FROM (" + " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS null_share, quantile_cont({c}, [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99]) AS quantiles, count(DISTINCT {c}) AS n_distinct,
-  list_sort(list_distinct(quantile_cont({c}, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1]))) AS edges FROM lineitem""" for c in _NUM) + ")"
+    "SELECT column_name, kind, place, round(value, 7) AS value, round(null_share, 7) AS null_share, n_distinct FROM (" + " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, kind, unnest(range(len(l))) AS place, unnest(l) AS value, null_share, n_distinct FROM (
+  SELECT 'quantile' AS kind, quantile_cont({c}, [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99]) AS l, avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS null_share, count(DISTINCT {c}) AS n_distinct FROM lineitem
+  UNION ALL SELECT 'edge', list_sort(list_distinct(quantile_cont({c}, {_DECILES}))), avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), count(DISTINCT {c}) FROM lineitem)""" for c in _NUM) + ")"
 )
 def reference_quantiles(spark, sf):
-    return drift.reference_quantiles(table(spark, sf, "lineitem"), _NUM)
+    """A row for each quantile and each edge of a column."""
+    got = drift.reference_quantiles(table(spark, sf, "lineitem"), _NUM)
+    parts = [got.select("column_name", F.lit(kind).alias("kind"), F.posexplode(values).alias("place", "value"), "null_share", "n_distinct") for kind, values in (("quantile", "quantiles"), ("edge", "edges"))]
+    out = parts[0].unionByName(parts[1])
+    return out.select("column_name", "kind", F.col("place").cast("long").alias("place"), F.round("value", 7).alias("value"), F.round("null_share", 7).alias("null_share"), "n_distinct")
 
 
 def _psi_sql(c: str, many: bool) -> str:

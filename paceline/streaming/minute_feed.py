@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import clock
+from ..lineage import scratch, written
 from ..operators.cleaning import merge_polls
 from ..sources.files import MINUTE_SCHEMA
 
@@ -32,16 +33,15 @@ def merge_into(archive: str, polls: DataFrame) -> int:
         except AnalysisException:
             held = spark.createDataFrame([], MINUTE_SCHEMA)
         old = held.join(days, "sensing_date", "left_semi").select(*held.columns)
-        merged = merge_polls(old, polls.select(*held.columns))
-        fresh = merged.select(*held.columns).exceptAll(old.distinct()).select("sensing_date").distinct()
-        changed = [r[0] for r in fresh.limit(10_000).collect()]
-        if changed:
-            todo = merged.where(F.col("sensing_date").isin(changed))
-            # read in full before what it is read from is replaced
-            staged = f"{archive.rstrip('/')}_staged"
-            todo.write.mode("overwrite").partitionBy("sensing_date").parquet(staged)
-            spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sensing_date").parquet(archive)
-        return len(changed)
+        merged = merge_polls(old, polls.select(*held.columns)).select(*held.columns)
+        fresh = merged.exceptAll(old.distinct()).select("sensing_date").distinct()
+        with scratch(spark):
+            # written in full, by a name of its own, before what it is read from is replaced
+            staged = written(merged.join(fresh, "sensing_date", "left_semi").select(*held.columns), "polls")
+            changed = staged.select("sensing_date").distinct().count()
+            if changed:
+                staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sensing_date").parquet(archive)
+        return changed
     finally:
         polls.unpersist()
 

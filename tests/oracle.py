@@ -21,8 +21,8 @@ def plain(v):
         return str(v)
     if isinstance(v, (float, decimal.Decimal)):
         return repr(round(float(v), 6) + 0.0)
-    if isinstance(v, (list, tuple)):
-        return "[" + ",".join(map(plain, v)) + "]"
+    if isinstance(v, (list, tuple)):  # what is inside is compared exactly
+        return "[" + ",".join(map(repr, v)) + "]"
     return str(v)
 
 
