@@ -8,7 +8,7 @@ from .. import schema
 from ..functions import opening_hours
 from ..operators import connections, frame, graph, holdout, metrics, places, routes, surroundings
 from .network_queries import _HOURS, _RASTER, _r6, _raster
-from .views import sql, v_hourly, v_lattice, v_places, v_scored, v_sites
+from .views import sql, table, v_hourly, v_lattice, v_places, v_scored, v_sites
 
 QUERIES, ORACLES = {}, {}
 
@@ -224,13 +224,41 @@ def egress_routes(spark, sf):
 @query(None)
 def fitted_trips(spark, sf):
     net = graph.load(v_lattice(spark, sf))
-    found = routes.sample_routes(net, [0, 1], {"station": 24, "tram": 20}, 12, 0.5, 7)
-    passes, offset = routes.incidence(found, {1: 506, 2: 2021, 3: 1924})
-    trips = routes.fit_trips(passes, passes @ routes.route_prior(found, {"station": 3.0, "tram": 1.0}, 1000.0, 1.0) * 1.2, routes.route_prior(found, {"station": 3.0, "tram": 1.0}, 1000.0, 1.0), 0.1)
-    times = routes.crossing_times(spark, trips, passes, offset, [0.5, 0.3, 0.2], 20, 1.3, 5)
+    found = routes.route_table(spark, routes.sample_routes(net, [0, 1], {"station": 24, "tram": 20}, 12, 0.5, 7))
+    passed = routes.passages(found, spark.createDataFrame([(1, 506), (2, 2021), (3, 1924)], "sensor int, segment long"))
+    prior = routes.prior_trips(found, spark.createDataFrame([("station", 3.0), ("tram", 1.0)], "destination string, weight double"), 1000.0, 1.0)
+    targets = passed.join(prior, "route").groupBy("sensor").agg((F.sum("trips") * 1.2).alias("total"))
+    times = routes.crossing_times(routes.fitted(passed, targets, prior, 0.1), passed, [0.5, 0.3, 0.2], 20, 1.3, 5)
     return times.groupBy("sensor", F.floor(F.col("minute") / 5).alias("block")).agg(F.count("*").alias("n_walkers"))
 
 
+_WEIGHTS = "(VALUES ('1-URGENT', 3.0), ('2-HIGH', 1.5), ('3-MEDIUM', 1.0), ('9-NONE', 7.0)) AS w(destination, weight)"
+
+
+@query(
+    """SELECT route, round(9000.0 * weight / sum_weight * pull / sum(pull) OVER (PARTITION BY destination), 7) AS trips FROM (
+  SELECT o_orderkey AS route, o_orderpriority AS destination, coalesce(weight, 0.0) AS weight, 5.5 AS sum_weight,
+    exp(-2.0 * (CAST(o_totalprice AS DOUBLE) - min(CAST(o_totalprice AS DOUBLE)) OVER g) / greatest(min(CAST(o_totalprice AS DOUBLE)) OVER g, 1.0)) AS pull
+  FROM orders LEFT JOIN """ + _WEIGHTS + """ ON destination = o_orderpriority WINDOW g AS (PARTITION BY o_orderpriority))"""
+)
+def prior_of_routes(spark, sf):
+    """Orders as routes, to their priorities."""
+    own = table(spark, sf, "orders").select(F.col("o_orderkey").alias("route"), F.col("o_orderpriority").alias("destination"), F.col("o_totalprice").cast("double").alias("length_m"))
+    weights = spark.createDataFrame([("1-URGENT", 3.0), ("2-HIGH", 1.5), ("3-MEDIUM", 1.0), ("9-NONE", 7.0)], "destination string, weight double")
+    return routes.prior_trips(own, weights, 9000.0, 2.0).select("route", F.round("trips", 7).alias("trips"))
+
+
+@query(
+    """SELECT l_orderkey AS route, s_suppkey AS sensor, offset_m AS "offset", offset_m - min(offset_m) OVER (PARTITION BY l_orderkey) AS lag_m FROM (
+  SELECT l_orderkey, l_partkey, max(CAST(10 * l_linenumber AS DOUBLE)) AS offset_m FROM lineitem GROUP BY 1, 2) JOIN (SELECT s_suppkey, s_suppkey * 2 AS seg FROM supplier) ON seg = l_partkey"""
+)
+def route_passages(spark, sf):
+    """Orders as routes along their parts, every second of which has a supplier as sensor."""
+    legs = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("route")).agg(F.collect_list(F.struct(F.col("l_partkey").cast("bigint").alias("segment"), (F.col("l_linenumber") * 10).cast("double").alias("offset"))).alias("legs"))
+    sensors = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("sensor"), (F.col("s_suppkey") * 2).cast("bigint").alias("segment"))
+    return routes.passages(legs, sensors)
+
+
 @query("SELECT CAST(b AS INTEGER) AS block, CASE b WHEN 0 THEN 0.6 WHEN 1 THEN 0.4 ELSE 0.0 END::DOUBLE AS share FROM range(4) AS t(b)")
 def profile_block_shares(spark, sf):
     return routes.block_shares(spark.createDataFrame([(0, 0.2), (5, 0.1), (15, 0.2)], "block_start int, share double"), 15)

@@ -213,15 +213,30 @@ def test_unknown_operator():
         calendar.condition("a", "~", 1)
 
 
-def test_roles():
-    with pytest.raises(ValueError, match="portable"):
-        schema.Column("a", "int", "feature")
-    with pytest.raises(ValueError, match="portable"):
-        schema.Column("a", "int", "key", portable=True)
-    assert "direction_1" not in schema.features(schema.COUNTS_HOURLY)
-    assert set(schema.features(schema.COUNTS_HOURLY, "portable")) < set(schema.features(schema.COUNTS_HOURLY))
+def test_contracts(spark):
+    with pytest.raises(ValueError, match="unknown use"):
+        schema.contract("feature osm: a int")
+    with pytest.raises(ValueError, match="named twice"):
+        schema.contract("key osm: a int, a int")
+    counts = schema.COUNTS_HOURLY
+    assert len(counts.fields) == 40
+    assert schema.used_as(counts, "key", "label") == ["location_id", "ts_utc", "pedestriancount"]
+    assert not {"direction_1", "direction_2", "hour_of_week", "sun_azimuth_deg"} & set(schema.features(counts))
+    assert set(schema.features(counts)) - set(schema.features(counts, "portable")) == {"post_metro_tunnel", "slope_pct", "slope_pct_local_mean", "elevation_m"}
     with pytest.raises(ValueError, match="unknown variant"):
-        schema.features(schema.COUNTS_HOURLY, "x")
+        schema.features(counts, "x")
+    own = schema.segment_features(("food_drink", "retail"))
+    assert {"poi_retail_400", "ang_choice_norm_1600", "clue_jobs_800"} <= set(schema.features(own))
+    assert not {"length_m", "bearing_deg", "segment_id"} & set(schema.features(own))
+    both = schema.sensor_features(own)
+    assert len(both.fields) == len(schema.SENSORS.fields) + len(own.fields) - 2
+    small = schema.contract("key a: id int\nmeta a: name string, size int")
+    rows = spark.createDataFrame([(1, "x", 2.0, 0), (1, "y", 1.0, 0), (None, "z", 1.0, 0)], "id int, name string, size double, more int")
+    assert {tuple(r) for r in schema.check(rows, small).collect()} == {("size", "is double", None), ("more", "extra", None), ("id", "null key", 1), ("id", "repeated key", 1)}
+    assert schema.check(schema.conform(rows.where("name = 'x'"), small), small).count() == 0
+
+
+def test_site_guard():
     with pytest.raises(ValueError, match="no counts"):
         frame.check_site("a", "b")
 
@@ -314,7 +329,7 @@ def test_opening_hours(text, open_at, closed_at):
     assert not any(got[h] for h in closed_at)
 
 
-@pytest.mark.parametrize("text", [None, "", '"by appointment"', "sunrise-sunset", "Mo 9-17", "Mo 10:75-11:00"])
+@pytest.mark.parametrize("text", [None, "", '"by appointment"', "sunrise-sunset", "Mo 9-17", "Mo 10:75-11:00", "Mon 10:00-11:00", "PH", "Mo 10:00-11:00 sometimes", "10:00", "Mo,We-"])
 def test_opening_hours_not_understood(text):
     assert opening_hours.week(text) is None
 
@@ -342,11 +357,15 @@ def test_routes_prefer_short_and_fit(spark, sf):
     found = routes.sample_routes(net, [0], {"z": 24}, 10, 0.4, 1)
     assert found
     assert all(len(r.segments) == 8 for r in found[:1])
-    prior = routes.route_prior(found, {"z": 1.0}, 100.0, 1.0)
-    assert prior.sum() == pytest.approx(100)
-    passes, _ = routes.incidence(found, {i: s for i, s in enumerate(found[0].segments[:2])})
-    trips = routes.fit_trips(passes, passes @ prior, prior, 0.1)
-    assert trips == pytest.approx(prior, abs=1e-6)
+    every = routes.route_table(spark, found)
+    prior = routes.prior_trips(every, spark.createDataFrame([("z", 1.0)], "destination string, weight double"), 100.0, 1.0)
+    assert prior.agg(F.sum("trips")).first()[0] == pytest.approx(100)
+    sensors = spark.createDataFrame([(i, s) for i, s in enumerate(found[0].segments[:2])], "sensor int, segment long")
+    passed = routes.passages(every, sensors)
+    assert {(r.sensor, r.lag_m) for r in passed.where("route = 0").collect()} == {(0, 0.0), (1, found[0].offsets[1] - found[0].offsets[0])}
+    targets = passed.join(prior, "route").groupBy("sensor").agg(F.sum("trips").alias("total"))
+    trips = routes.fitted(passed, targets, prior, 0.1).orderBy("route").collect()
+    assert [r.trips for r in trips] == pytest.approx([r.trips for r in prior.orderBy("route").collect()], abs=1e-6)
 
 
 def test_gates():
