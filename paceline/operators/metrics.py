@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..lineage import written
+
 from .representation import long_slices
 
 
@@ -102,21 +104,28 @@ def cell_metrics(cells: DataFrame, sensor: str) -> DataFrame:
     return per.withColumn("disparity_ratio", F.try_divide(F.min("wape").over(whole), F.max("wape").over(whole)))
 
 
+_PRIME = (1 << 31) - 1
+
+
+def random_number(rep: Column, nth: Column, below: Column, seed: int) -> Column:
+    """A pseudo-random whole number from 0 up to `below`: squares modulo a prime of the repetition and the draw's number, so any engine draws the same."""
+    x = (rep * 48271 + nth * 69621 + F.lit(seed * 16807 + 12345)).cast("long") % _PRIME
+    for _ in range(3):
+        x = (x * x + nth * 40692 + rep + 1) % _PRIME
+    return x % below
+
+
 def sensor_bootstrap(cells: DataFrame, sensor: str, reps: int = 300, seed: int = 7) -> DataFrame:
-    """95 % interval of each group's WAPE over resampled sensors.
+    """95 % interval of each group's WAPE, when as many sensors as it has are drawn from it with replacement.
 
-    Every sensor is drawn a Poisson number of times, from a hash of repetition and sensor, so the cells are read once
-    and a repetition is the same wherever it runs.
+    Cells are numbered within their group; each repetition counts how often a number is drawn, and meets the cells by it.
     """
-    u = (F.pmod(F.xxhash64("dimension", "group", sensor, "rep", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)).alias("u")
-    drawn = cells.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1)))).select("*", u)
-    k, total, term = F.lit(0), 0.0, 0.36787944117144233
-    for i in range(1, 9):
-        total += term
-        k = F.when(F.col("u") >= total, i).otherwise(k)
-        term /= i
-    per = drawn.withColumn("k", k).groupBy("dimension", "group", "rep").agg(F.try_divide(F.sum(F.col("k") * F.col("abs_err")), F.sum(F.col("k") * F.col("y"))).alias("w"))
-    return per.groupBy("dimension", "group").agg(F.percentile("w", F.lit(0.025)).alias("wape_lo"), F.percentile("w", F.lit(0.975)).alias("wape_hi"))
+    group = ["dimension", "group"]
+    numbered = written(cells.select(*group, F.col("y").cast("double").alias("y"), "abs_err", (F.row_number().over(Window.partitionBy(*group).orderBy(sensor)) - 1).cast("long").alias("nth"), F.count("*").over(Window.partitionBy(*group)).alias("below")), "cells")
+    each = numbered.select(*group, "nth", "below", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(reps - 1).cast("long"))).alias("rep"))
+    picks = each.select(*group, "rep", random_number(F.col("rep"), F.col("nth"), F.col("below"), seed).alias("nth")).groupBy(*group, "rep", "nth").agg(F.count("*").alias("times"))
+    per = picks.join(numbered, [*group, "nth"]).groupBy(*group, "rep").agg(F.try_divide(F.sum(F.col("times") * F.col("abs_err")), F.sum(F.col("times") * F.col("y"))).alias("w"))
+    return per.groupBy(*group).agg(F.percentile("w", F.lit(0.025)).alias("wape_lo"), F.percentile("w", F.lit(0.975)).alias("wape_hi"))
 
 
 def slice_errors(df: DataFrame, dims: Sequence[str], sensor: str, y: str, p: str, margin: float = 0.0, reps: int = 300, seed: int = 7) -> DataFrame:
@@ -211,7 +220,7 @@ def calibration_curve(df: DataFrame, sensor: str, y: str, p: str, known: Sequenc
     """WAPE on all other sensors when one scale is fitted on k sensors, over random draws: median and quartiles."""
     per = df.groupBy(sensor).agg(F.sum(y).alias("_y"), F.sum(p).alias("_p"))
     draws = df.sparkSession.createDataFrame([(k, r) for k in known for r in range(reps)], "k int, rep int")
-    order = Window.partitionBy("k", "rep").orderBy(F.xxhash64(sensor, "rep", F.lit(seed)), sensor)
+    order = Window.partitionBy("k", "rep").orderBy(random_number(F.col("rep").cast("long"), F.col(sensor).cast("long"), F.lit(_PRIME), seed), sensor)
     drawn = per.join(F.broadcast(draws), F.lit(True)).withColumn("_in", F.row_number().over(order) <= F.col("k"))
     scales = drawn.groupBy("k", "rep").agg(F.try_divide(F.sum(F.when(F.col("_in"), F.col("_y"))), F.sum(F.when(F.col("_in"), F.col("_p")))).alias("scale"))
     tests = drawn.where("not _in").select(sensor, "k", "rep").join(scales, ["k", "rep"])

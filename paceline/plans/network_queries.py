@@ -254,27 +254,15 @@ def _ways(lines):
 @query(
     """SELECT CAST(way_id AS VARCHAR) || '-' || CAST(k AS VARCHAR) AS segment_id, way_id, first(node ORDER BY pos) AS u, last(node ORDER BY pos) AS v, count(*) AS n_nodes FROM (
   SELECT way_id, pos, node, k FROM n UNION ALL SELECT way_id, pos, node, k - 1 FROM n WHERE cut) GROUP BY way_id, k HAVING count(*) > 1""",
-    w="SELECT l_orderkey AS way_id, list(l_partkey ORDER BY l_linenumber, l_partkey) AS nodes FROM lineitem WHERE l_orderkey <= 4000 GROUP BY 1 HAVING count(*) > 1",
+    w="SELECT l_orderkey AS way_id, list(l_partkey ORDER BY l_linenumber, l_partkey) AS nodes FROM lineitem GROUP BY 1 HAVING count(*) > 1",
     f="SELECT way_id, unnest(range(len(nodes))) AS pos, unnest(nodes) AS node, len(nodes) - 1 AS last FROM w",
     n="SELECT *, CAST(sum(cut::INT) OVER (PARTITION BY way_id ORDER BY pos) AS BIGINT) AS k FROM (SELECT *, pos > 0 AND pos < last AND count(*) OVER (PARTITION BY node) > 1 AS cut FROM f)",
 )
 def split_ways(spark, sf):
-    ways = _ways(table(spark, sf, "lineitem").where("l_orderkey <= 4000"))
+    ways = _ways(table(spark, sf, "lineitem"))
     return segments.split_ways(ways).select("segment_id", "way_id", "u", "v", F.size("node_ids").cast("bigint").alias("n_nodes"))
 
 
-@query(
-    """SELECT CAST(way_id AS VARCHAR) || '-' || CAST(k AS VARCHAR) AS segment_id, way_id, first(node ORDER BY pos) AS u, last(node ORDER BY pos) AS v, count(*) AS n_nodes FROM (
-  SELECT way_id, pos, node, k FROM n UNION ALL SELECT way_id, pos, node, k - 1 FROM n WHERE cut) GROUP BY way_id, k HAVING count(*) > 1""",
-    w="SELECT l_orderkey AS way_id, list(l_partkey ORDER BY l_linenumber, l_partkey) AS nodes FROM lineitem GROUP BY 1 HAVING count(*) > 1",
-    f="SELECT way_id, unnest(range(len(nodes))) AS pos, unnest(nodes) AS node, len(nodes) - 1 AS last FROM w",
-    n="SELECT *, CAST(sum(cut::INT) OVER (PARTITION BY way_id ORDER BY pos) AS BIGINT) AS k FROM (SELECT *, pos > 0 AND pos < last AND count(*) OVER (PARTITION BY node) > 1 AS cut FROM f)",
-)
-def split_all_ways(spark, sf):
-    """As split_ways, of every order."""
-    return segments.split_ways(_ways(table(spark, sf, "lineitem"))).select("segment_id", "way_id", "u", "v", F.size("node_ids").cast("bigint").alias("n_nodes"))
-
-
 _TAGS = [
     (1, {"highway": "footway"}), (2, {"highway": "cycleway"}), (3, {"highway": "cycleway", "foot": "designated"}), (4, {"highway": "motorway"}), (5, {"highway": "residential", "access": "private"}),
     (6, {"highway": "residential", "access": "private", "foot": "yes"}), (7, {"highway": "pedestrian", "area": "yes"}), (8, {"name": "x"}), (9, {"highway": "service", "service": "private", "foot": "yes"}),
@@ -301,11 +289,45 @@ def tag_rules(spark, sf):
     )
 
 
-@query(None)
+#: Tag values that orders take in turn, by powers of their key.
+_TAG_VALUES = {
+    "highway": ("footway", "residential", "primary_link", "steps", "corridor", "crossing", "motorway", None, "service"), "footway": (None, "sidewalk", "crossing"), "bridge": (None, "yes", "no", "viaduct"),
+    "tunnel": (None, None, "yes", "no", "culvert"), "covered": (None, "arcade", "no", "yes", "colonnade", "booth"), "sidewalk": (None, "both", "left", "no", "separate", "yes", "none"),
+    "sidewalk:left": (None, "yes", "separate"), "surface": (None, "asphalt", "gravel", "paving_stones"), "lit": (None, "yes", "no", "24/7", "disused"), "width": (None, "2.5", "3 m", "wide"), "indoor": (None, "yes", "no", "corridor", None, None, None),
+}
+
+
+def _tag_pick(i: int, n: int) -> str:
+    return f"CAST(floor(o_orderkey / {1 + i * 3}) AS BIGINT) % {n}"
+
+
+def _tag_sql(k: str) -> str:
+    i, values = list(_TAG_VALUES).index(k), _TAG_VALUES[k]
+    return f"CASE {_tag_pick(i, len(values))} " + " ".join(f"WHEN {j} THEN '{v}'" for j, v in enumerate(values) if v is not None) + " END"
+
+
+def _one_hot() -> str:
+    kind = "replace(hw, '_link', '')"
+    known = ", ".join(f"'{c}'" for c in segments.HIGHWAY_CLASSES)
+    return ", ".join(f"coalesce({kind} = '{c}', false) AS hw_{c}" for c in segments.HIGHWAY_CLASSES) + f", coalesce({kind} NOT IN ({known}), true) AS hw_other"
+
+
+@query(
+    f"""SELECT segment_id, {_one_hot()}, coalesce(fw = 'sidewalk', false) AS is_sidewalk, coalesce(fw = 'crossing', false) OR coalesce(hw = 'crossing', false) AS is_crossing, coalesce(hw = 'steps', false) AS is_steps,
+  coalesce(hw = 'corridor', false) OR coalesce(ind IN ('yes', 'corridor'), false) AS is_indoor, false AS is_inferred, false AS is_area_edge, false AS is_detected, coalesce(br <> 'no', false) AS is_bridge, coalesce(tu <> 'no', false) AS is_tunnel,
+  coalesce(co IN ('yes', 'arcade', 'colonnade'), false) AS is_covered, coalesce(st = 'both', false) AS sidewalk_both, coalesce(st IN ('left', 'right'), false) AS sidewalk_one_side, coalesce(st = 'no', false) AS sidewalk_none,
+  coalesce(st = 'separate', false) AS sidewalk_separate, st IS NULL AS sidewalk_missing, CASE WHEN su IS NOT NULL THEN CASE WHEN su IN ('asphalt', 'paving_stones') THEN 1.0 ELSE 0.0 END END::DOUBLE AS surface_paved, su IS NULL AS surface_paved_missing,
+  CASE WHEN li IS NOT NULL THEN CASE WHEN li IN ('no', 'disused') THEN 0.0 ELSE 1.0 END END::DOUBLE AS lit, li IS NULL AS lit_missing, TRY_CAST(trim(replace(wi, 'm', '')) AS DOUBLE) AS width_m, TRY_CAST(trim(replace(wi, 'm', '')) AS DOUBLE) IS NULL AS width_missing FROM (
+  SELECT *, CASE WHEN sw IN ('no', 'none') THEN 'no' WHEN sw IN ('yes', 'both') THEN 'both' WHEN sw IS NOT NULL THEN sw WHEN sl = 'separate' THEN 'separate' WHEN sl = 'yes' THEN 'left' END AS st FROM tagged)""",
+    tagged="SELECT o_orderkey AS segment_id, " + ", ".join(f"{_tag_sql(k)} AS {a}" for k, a in zip(_TAG_VALUES, ("hw", "fw", "br", "tu", "co", "sw", "sl", "su", "li", "wi", "ind"), strict=True)) + " FROM orders",
+)
 def segment_tag_features(spark, sf):
-    t = F.col("tags")
-    own = tagged(spark).select("id", segments.tag(t, "highway").alias("highway"), segments.sidewalk_state(t).alias("sidewalk_state"), (segments.tag(t, "surface") == "paved").alias("surface_paved"), (segments.tag(t, "lit") == "yes").alias("lit"))
-    return segments.tag_features(own)
+    """Orders as segments, tagged by their keys."""
+    values = {k: F.get(F.array(*[F.lit(v).cast("string") for v in v_]), F.expr(_tag_pick(i, len(v_))).cast("int")) for i, (k, v_) in enumerate(_TAG_VALUES.items())}
+    tags = F.map_filter(F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v)]), lambda _, v: v.isNotNull())
+    own = segments.segment_flags(table(spark, sf, "orders").select(F.col("o_orderkey").alias("segment_id"), tags.alias("tags")))
+    out = segments.tag_features(own)
+    return out.drop("tags", "highway", "bridge", "tunnel", "covered", "sidewalk_state")
 
 
 @query("""SELECT * FROM (VALUES (1, '{"a":"x","b\\"c":"y=>z"}'), (2, '{}'), (3, '{}')) AS t(id, tags)""")

@@ -201,12 +201,41 @@ def slice_wape(spark, sf):
     return _r7(metrics.cell_metrics(metrics.cell_sums(v_scored(spark, sf), _DIMS, "location_id", "y", "pred"), "location_id"))
 
 
-@query(None)
+def _drawn_sql(rep: str, nth: str, below: str, seed: int = 7) -> str:
+    """`metrics.random_number` in SQL: three squares modulo a prime."""
+    x = f"(({rep} * 48271 + {nth} * 69621 + {seed * 16807 + 12345})::BIGINT % 2147483647)"
+    for _ in range(3):
+        x = f"(list_transform([{x}], lambda z: (z * z + {nth} * 40692 + {rep} + 1) % 2147483647)[1])"
+    return f"({x} % {below})"
+
+
+def _errors_ctes(reps: int) -> dict[str, str]:
+    return _LONG | {
+        "cells": """SELECT dimension, "group" AS g, location_id, sum(y)::DOUBLE AS y, sum(abs(pred - y)) AS e, row_number() OVER (PARTITION BY dimension, "group" ORDER BY location_id) - 1 AS nth, count(*) OVER (PARTITION BY dimension, "group") AS below FROM long GROUP BY 1, 2, 3""",
+        "picks": f"SELECT dimension, g, rep, {_drawn_sql('rep', 'nth', 'below')} AS pick FROM cells, range({reps}) AS t(rep)",
+        "boot": "SELECT p.dimension, p.g, rep, sum(e) / sum(y) AS w FROM picks p JOIN cells c ON c.dimension = p.dimension AND c.g = p.g AND c.nth = pick GROUP BY 1, 2, 3",
+        "ci": "SELECT dimension, g, quantile_cont(w, 0.025) AS lo, quantile_cont(w, 0.975) AS hi FROM boot GROUP BY 1, 2",
+        "errs": """SELECT *, min(wape) OVER d / max(wape) OVER d AS disparity_ratio, wape / overall AS wape_vs_overall, lo > overall AS worse FROM (
+  SELECT dimension, "group" AS g, sum(abs(pred - y)) / sum(y) AS wape, (sum(pred) - sum(y)) / sum(y) AS bias, avg(abs(pred - y)) AS mae, count(*) AS n_rows, count(DISTINCT location_id) AS n_sensors FROM long GROUP BY 1, 2
+  ) JOIN ci USING (dimension, g), (SELECT sum(abs(pred - y)) / sum(y) AS overall FROM v_scored) WINDOW d AS (PARTITION BY dimension)""",
+    }
+
+
+@query(
+    """SELECT dimension, g AS "group", round(wape, 7) AS wape, round(bias, 7) AS bias, round(mae, 7) AS mae, n_rows, n_sensors, round(disparity_ratio, 7) AS disparity_ratio, round(lo, 7) AS wape_lo, round(hi, 7) AS wape_hi, round(wape_vs_overall, 7) AS wape_vs_overall, worse FROM errs""",
+    **_errors_ctes(100),
+)
 def slice_errors_bootstrap(spark, sf):
     return _r7(metrics.slice_errors(v_scored(spark, sf), _DIMS, "location_id", "y", "pred", reps=100))
 
 
-@query(None)
+@query(
+    """SELECT round(wape, 7) AS wape, round(bias, 7) AS bias, round(mae, 7) AS mae, 'none' AS mitigation, (SELECT count(*) FROM errs WHERE worse) AS groups_worse,
+  (SELECT coalesce(string_agg(dimension || '=' || g, '; ' ORDER BY dimension || '=' || g), '') FROM errs WHERE worse) AS worse_groups,
+  (SELECT string_agg(dimension || '=' || g || ' (' || printf('%.2f', wape) || ')', '; ' ORDER BY wape DESC) FROM (SELECT *, row_number() OVER (PARTITION BY dimension ORDER BY wape DESC, g) AS r FROM errs) WHERE r = 1) AS max_wape_group
+FROM (SELECT sum(abs(pred - y)) / sum(y) AS wape, (sum(pred) - sum(y)) / sum(y) AS bias, avg(abs(pred - y)) AS mae FROM v_scored)""",
+    **_errors_ctes(50),
+)
 def mitigation_summary(spark, sf):
     v = v_scored(spark, sf)
     overall = v.agg(metrics.wape("y", "pred").alias("wape"), metrics.bias_share("y", "pred").alias("bias"), metrics.mae("y", "pred").alias("mae"))
@@ -292,7 +321,13 @@ def pinball(spark, sf):
     return v_scored(spark, sf).groupBy("l_returnflag").agg(F.round(metrics.pinball("y", "pred", 0.9), 7).alias("loss"))
 
 
-@query(None)
+@query(
+    """SELECT k, round(quantile_cont(wape, 0.5), 7) AS median, round(quantile_cont(wape, 0.25), 7) AS lower, round(quantile_cont(wape, 0.75), 7) AS upper FROM (
+  SELECT k, rep, sum(abs(pred * scale - y)) / sum(y) AS wape FROM v_scored v JOIN (SELECT * FROM ranked WHERE place > k) r ON r.location_id = v.location_id JOIN scales USING (k, rep) GROUP BY 1, 2) GROUP BY 1""",
+    per="SELECT location_id, sum(y)::DOUBLE AS sy, sum(pred) AS sp FROM v_scored GROUP BY 1",
+    ranked=f"SELECT *, row_number() OVER (PARTITION BY k, rep ORDER BY {_drawn_sql('rep', 'location_id', '2147483647')}, location_id) AS place FROM per, (VALUES (1), (3), (5)) AS a(k), range(10) AS t(rep)",
+    scales="SELECT k, rep, sum(sy) / sum(sp) AS scale FROM ranked WHERE place <= k GROUP BY 1, 2",
+)
 def calibration_curve(spark, sf):
     return _r7(metrics.calibration_curve(v_scored(spark, sf), "location_id", "y", "pred", (1, 3, 5), 10))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from paceline import schema
 from paceline.functions import clock, geometry, opening_hours, sun
-from paceline.operators import calendar, checks, cleaning, drift, events, frame, graph, islands, metrics, minutes, models, representation, routes, segments, slices, spatial, splits, surroundings
+from paceline.operators import boosting, calendar, checks, cleaning, drift, events, frame, graph, islands, metrics, minutes, models, representation, routes, segments, slices, spatial, splits, surroundings
 from paceline.plans import network_queries
 
 ZONE = "Australia/Melbourne"
@@ -190,6 +190,18 @@ def test_bootstrap_holds_the_error(spark):
     assert not r.worse
 
 
+def test_bootstrap_draws_with_replacement(spark):
+    cells = spark.createDataFrame([("d", "solo", 1, 100.0, 30.0), *[("d", "many", i, 100.0, e) for i, e in ((2, 10.0), (3, 50.0), (4, 90.0))]], "dimension string, group string, s int, y double, abs_err double")
+    got = {r.group: r for r in metrics.sensor_bootstrap(cells, "s", reps=500, seed=0).collect()}
+    assert (got["solo"].wape_lo, got["solo"].wape_hi) == pytest.approx((0.3, 0.3))
+    assert got["many"].wape_lo < 0.25 < 0.5 < 0.75 < got["many"].wape_hi
+    draws = spark.range(200).select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(49).cast("long"))).alias("nth"), "id").select(metrics.random_number(F.col("id"), F.col("nth"), F.lit(10), 7).alias("n"))
+    counts = [r["count"] for r in draws.groupBy("n").count().collect()]
+    assert len(counts) == 10
+    assert min(counts) > 850
+    assert max(counts) < 1150
+
+
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.floats(0, 1000), min_size=40, max_size=80))
 def test_psi_of_itself_is_zero(spark, values):
@@ -397,7 +409,7 @@ def test_all_ways_are_split(spark, tmp_path):
 
     rows = [(1, 1, 10), (1, 2, 11), (1, 3, 12), (90_000, 1, 20), (90_000, 2, 11), (90_000, 3, 21), (90_001, 1, 30)]
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
-    got = sorted((r.segment_id, r.u, r.v) for r in registry.QUERIES["split_all_ways"](spark, str(tmp_path)).collect())
+    got = sorted((r.segment_id, r.u, r.v) for r in registry.QUERIES["split_ways"](spark, str(tmp_path)).collect())
     assert got == [("1-0", 10, 11), ("1-1", 11, 12), ("90000-0", 20, 11), ("90000-1", 11, 21)]
 
 
@@ -475,3 +487,48 @@ def test_baseline_counts_all_sensors_or_none(spark, monkeypatch):
         models.fit_baseline(rows, sensors, "location_id", "hour_of_week", "n", ["reach"])
     monkeypatch.setattr(models, "MOST_SENSORS", 4)
     assert len(models.fit_baseline(rows, sensors, "location_id", "hour_of_week", "n", ["reach"]).beta) == 2
+
+
+@pytest.fixture(scope="module")
+def counted(spark):
+    rng = np.random.default_rng(3)
+    x, z = rng.uniform(0, 4, 2000), rng.integers(0, 3, 2000)
+    y = rng.poisson(np.exp(0.5 * x + (z == 1)))
+    rows = [(i, float(a), None if i % 9 == 0 else float(b), None, int(c), i % 4 - (i % 40 == 0) * 9) for i, (a, b, c) in enumerate(zip(x, z, y, strict=True))]
+    return spark.createDataFrame(rows, "id int, x double, z double, empty double, y int, fold int").repartition(3).cache()
+
+
+def test_boosted_counts_and_quantiles(counted):
+    """Poisson trees come near the mean they were drawn from; quantile trees leave their share below."""
+    s = boosting.Settings(rounds=15, depth=3, rate=0.3)
+    got = boosting.predict(boosting.fit(counted, "y", ["x", "z", "empty"], s), counted)
+    r = got.agg(F.avg(F.abs(F.col("predicted") - F.col("y"))).alias("mae"), F.avg("predicted").alias("mean"), F.avg("y").alias("of")).first()
+    constant = counted.agg(F.avg(F.abs(F.col("y") - r.of))).first()[0]
+    assert r.mae < 0.65 * constant
+    assert r.mean == pytest.approx(r.of, rel=0.03)
+    for q in (0.1, 0.9):
+        low = boosting.predict(boosting.fit(counted, "y", ["x", "z", "empty"], boosting.Settings("quantile", q, 10, 3, 0.5)), counted)
+        below, upto = low.agg(F.avg((F.col("y") < F.col("predicted")).cast("int")), F.avg((F.col("y") <= F.col("predicted")).cast("int"))).first()
+        assert below - 0.05 < q < upto + 0.05
+    with pytest.raises(ValueError, match="features missing"):
+        boosting.predict(boosting.Trees(["no"], [], s), counted)
+    with pytest.raises(ValueError, match="unknown loss"):
+        boosting.Settings("square")
+    with pytest.raises(ValueError, match="no rows"):
+        boosting.fit(counted.limit(0), "y", ["x"], s)
+
+
+def test_out_of_fold_models_have_not_seen_their_rows(counted):
+    seen = []
+
+    def fit_one(rows):
+        seen.append({r.fold for r in rows.select("fold").distinct().collect()})
+        return seen[-1]
+
+    got = boosting.oof_predict(counted, "fold", fit_one, lambda m, rows: rows.withColumn("unseen", F.lit(4 - len(m))))
+    assert seen == [{0, 1, 2, 3} - {k} for k in range(4)]
+    assert got.count() == counted.where("fold >= 0").count()
+    s = boosting.Settings(rounds=4, depth=2, rate=0.5, bins=8)
+    both = boosting.oof_intervals(counted.where("fold in (0, 1)"), "fold", "y", ["x", "z"], settings=s)
+    assert both.where("lower > predicted or predicted > upper").count() == 0
+    assert 0.6 < both.agg(F.avg(F.col("y").between(F.col("lower"), F.col("upper")).cast("int"))).first()[0] <= 1
