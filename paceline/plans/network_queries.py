@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry, opening_hours
-from ..operators import graph, metrics, models, openings, segments, spatial, splits
+from ..operators import boosting, graph, metrics, models, openings, segments, spatial, splits
 from ..sources import files
-from .views import sql, table, v_hourly, v_lattice, v_places, v_scored, v_sites, v_years
+from .views import sql, table, v_hourly, v_lattice, v_places, v_scored, v_sites, v_streets, v_years
 
 QUERIES, ORACLES = {}, {}
 
@@ -148,16 +148,16 @@ def bearings(spark, sf):
     )
 
 
-@query("SELECT node_id, count(*) AS degree FROM (SELECT u AS node_id FROM v_lattice UNION ALL SELECT v FROM v_lattice) GROUP BY 1")
+@query("SELECT node_id, count(*) AS degree FROM (SELECT u AS node_id FROM v_streets UNION ALL SELECT v FROM v_streets) GROUP BY 1")
 def node_degrees(spark, sf):
-    return graph.node_table(v_lattice(spark, sf))
+    return graph.node_table(v_streets(spark, sf))
 
 
 def _broken(spark, sf):
-    return v_lattice(spark, sf).where("not (u % 5 = 2 and v = u + 1) and segment_id % 17 <> 0")
+    return v_streets(spark, sf).where("not (u % 5 = 2 and v = u + 1) and segment_id % 17 <> 0")
 
 
-_BROKEN = {"e": "SELECT * FROM v_lattice WHERE NOT (u % 5 = 2 AND v = u + 1) AND segment_id % 17 <> 0", "both_ways": "SELECT u AS a, v AS b FROM e UNION ALL SELECT v, u FROM e"}
+_BROKEN = {"e": "SELECT * FROM v_streets WHERE NOT (u % 5 = 2 AND v = u + 1) AND segment_id % 17 <> 0", "both_ways": "SELECT u AS a, v AS b FROM e UNION ALL SELECT v, u FROM e"}
 
 
 @query("SELECT a AS node, min(b) AS component FROM walk GROUP BY 1", **_BROKEN, walk="/*RECURSIVE_STEP*/ SELECT DISTINCT a, a AS b FROM both_ways UNION SELECT w.a, l.b FROM walk w JOIN both_ways l ON w.b = l.a")
@@ -174,7 +174,7 @@ def segment_components(spark, sf):
 
 
 _WALK = {
-    "links": "SELECT u AS a, v AS b, length_m AS w FROM v_lattice UNION ALL SELECT v, u, length_m FROM v_lattice",
+    "links": "SELECT u AS a, v AS b, length_m AS w FROM v_streets UNION ALL SELECT v, u, length_m FROM v_streets",
     "walk": "/*RECURSIVE_STEP*/ SELECT DISTINCT a AS source, a AS node, CAST(0 AS DOUBLE) AS d FROM links UNION SELECT s.source, l.b, s.d + l.w FROM walk s JOIN links l ON s.node = l.a WHERE s.d + l.w <= 350",
     "near": "SELECT source, node, min(d) AS dist_m FROM walk GROUP BY 1, 2",
 }
@@ -182,44 +182,44 @@ _WALK = {
 
 @query("SELECT source, node, round(dist_m, 6) AS dist_m FROM near", **_WALK)
 def reach_within(spark, sf):
-    return _r6(graph.reach(v_lattice(spark, sf), 350.0))
+    return _r6(graph.reach(v_streets(spark, sf), 350.0))
 
 
-@query("SELECT source, segment_id, round(min(dist_m), 6) AS dist_m FROM near JOIN v_lattice ON node IN (u, v) GROUP BY 1, 2 HAVING min(dist_m) <= 250", **_WALK)
+@query("SELECT source, segment_id, round(min(dist_m), 6) AS dist_m FROM near JOIN v_streets ON node IN (u, v) GROUP BY 1, 2 HAVING min(dist_m) <= 250", **_WALK)
 def segments_in_reach(spark, sf):
-    e = v_lattice(spark, sf)
+    e = v_streets(spark, sf)
     return _r6(graph.segments_in_reach(graph.reach(e, 350.0), e, 250.0))
 
 
 @query(
-    "SELECT 'stop' || CAST(source % 3 AS VARCHAR) AS venue, segment_id, round(min(dist_m), 6) AS dist_m FROM near JOIN v_lattice ON node IN (u, v) WHERE source IN (0, 4, 12, 20) GROUP BY 1, 2 HAVING min(dist_m) <= 300", **_WALK
+    "SELECT 'stop' || CAST(source % 3 AS VARCHAR) AS venue, segment_id, round(min(dist_m), 6) AS dist_m FROM near JOIN v_streets ON node IN (u, v) WHERE source IN (SELECT s_suppkey * 7 FROM supplier) GROUP BY 1, 2 HAVING min(dist_m) <= 300", **_WALK
 )
 def network_distance(spark, sf):
-    stops = spark.createDataFrame([(f"stop{n % 3}", n) for n in (0, 4, 12, 20)], "venue string, node long")
-    return _r6(graph.distance_to(v_lattice(spark, sf), stops, 300.0))
+    stops = table(spark, sf, "supplier").select((F.col("s_suppkey") * 7).alias("node")).select(F.concat(F.lit("stop"), F.col("node") % 3).alias("venue"), "node")
+    return _r6(graph.distance_to(v_streets(spark, sf), stops, 300.0))
 
 
 @query(
-    "SELECT source, " + ", ".join(f"coalesce(sum(s_acctbal) FILTER (WHERE dist_m <= {r}), 0) AS jobs_{r}" for r in (120, 250, 350)) + " FROM (SELECT source, dist_m, round(s_acctbal) AS s_acctbal FROM near LEFT JOIN supplier ON s_nationkey = node) GROUP BY 1", **_WALK
+    "SELECT source, " + ", ".join(f"coalesce(sum(s_acctbal) FILTER (WHERE dist_m <= {r}), 0) AS jobs_{r}" for r in (120, 250, 350)) + " FROM (SELECT source, dist_m, round(s_acctbal) AS s_acctbal FROM near LEFT JOIN supplier ON s_suppkey - 1 = node) GROUP BY 1", **_WALK
 )
 def weighted_reach(spark, sf):
-    points = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("node"), F.round("s_acctbal").alias("weight"))
-    return _r6(graph.weighted_reach(graph.reach(v_lattice(spark, sf), 350.0), points, (120, 250, 350)))
+    points = table(spark, sf, "supplier").select((F.col("s_suppkey") - 1).alias("node"), F.round("s_acctbal").alias("weight"))
+    return _r6(graph.weighted_reach(graph.reach(v_streets(spark, sf), 350.0), points, (120, 250, 350)))
 
 
 @query(
-    "SELECT source, category, " + ", ".join(f"count(*) FILTER (WHERE dist_m <= {r}) AS n_{r}" for r in (110, 250)) + " FROM (SELECT source, segment_id, min(dist_m) AS dist_m FROM near JOIN v_lattice ON node IN (u, v) GROUP BY 1, 2 HAVING min(dist_m) <= 250) r JOIN (SELECT c_nationkey * 100 + c_nationkey + 1 AS s, c_mktsegment AS category FROM customer) p ON s = segment_id GROUP BY 1, 2",
+    "SELECT source, category, " + ", ".join(f"count(*) FILTER (WHERE dist_m <= {r}) AS n_{r}" for r in (110, 250)) + " FROM (SELECT source, segment_id, min(dist_m) AS dist_m FROM near JOIN v_streets ON node IN (u, v) GROUP BY 1, 2 HAVING min(dist_m) <= 250) r JOIN (SELECT (c_custkey - 1) * 2 AS s, c_mktsegment AS category FROM customer) p ON s = segment_id GROUP BY 1, 2",
     **_WALK,
 )
 def amenities_in_reach(spark, sf):
-    e = v_lattice(spark, sf)
-    places = table(spark, sf, "customer").select((F.col("c_nationkey") * 101 + 1).alias("segment_id"), F.col("c_mktsegment").alias("category"))
+    e = v_streets(spark, sf)
+    places = table(spark, sf, "customer").select(((F.col("c_custkey") - 1) * 2).alias("segment_id"), F.col("c_mktsegment").alias("category"))
     return graph.amenities(graph.segments_in_reach(graph.reach(e, 350.0), e, 250.0), places, (110, 250))
 
 
 @query(None)
 def edge_betweenness(spark, sf):
-    return _r6(graph.primal_metrics(v_lattice(spark, sf), 350.0, 3))
+    return _r6(graph.primal_metrics(v_streets(spark, sf), 350.0, 3))
 
 
 def lattice_lines(spark, sf):
@@ -234,7 +234,11 @@ def angular_choice(spark, sf):
     return _r6(graph.angular_metrics(lattice_lines(spark, sf), 500.0, 3))
 
 
-@query(None)
+@query(
+    "SELECT segment_id, u, v FROM k WHERE must OR NOT EXISTS (SELECT 1 FROM walk w WHERE w.e = k.segment_id AND w.node = k.v)",
+    k="SELECT *, segment_id % 4 = 0 AS must FROM v_lattice",
+    walk="/*RECURSIVE_STEP*/ SELECT segment_id AS e, u AS node FROM k WHERE NOT must UNION SELECT w.e, CASE WHEN f.u = w.node THEN f.v ELSE f.u END FROM walk w JOIN k f ON (f.u = w.node OR f.v = w.node) AND (f.must OR f.segment_id < w.e)",
+)
 def kept_bridges(spark, sf):
     return graph.keep_bridges(v_lattice(spark, sf).withColumn("must_keep", F.col("segment_id") % 4 == 0)).select("segment_id", "u", "v")
 
@@ -452,6 +456,14 @@ def poisson_candidate(spark, sf):
     return out.withColumn("wape", F.round("wape", 4))
 
 
+@query(None)
+def boosted_out_of_fold(spark, sf):
+    """Boosted trees of the hourly counts, each sensor predicted by a model that hasn't seen it, with an interval."""
+    rows = _hours(spark, sf).withColumns({"h": F.hour("ts_utc").cast("double"), "w": F.weekday("ts_utc").cast("double"), "fold": F.col("location_id") % 2})
+    out = boosting.oof_intervals(rows, "fold", "pedestriancount", ["h", "w"], settings=boosting.Settings(rounds=3, depth=2, rate=0.5, bins=16))
+    return _r6(out.select("location_id", "ts_utc", "pedestriancount", "predicted", "lower", "upper"))
+
+
 @query(
     "SELECT model, first(version ORDER BY started DESC) AS version, max(started) AS started, 'FINISHED' AS status FROM runs WHERE status = 'FINISHED' GROUP BY 1",
     runs="SELECT 'm' || CAST(o_custkey % 5 AS VARCHAR) AS model, o_orderkey AS version, o_orderkey AS started, CASE o_orderstatus WHEN 'F' THEN 'FINISHED' ELSE 'RUNNING' END AS status FROM orders",

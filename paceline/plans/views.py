@@ -76,6 +76,15 @@ def v_lattice(spark, sf_dir) -> DataFrame:
     return right.unionByName(down).select((F.col("u") * 100 + F.col("v")).alias("segment_id"), "u", "v", (100 + F.col("u") * 7 % 13).cast("double").alias("length_m"))
 
 
+def v_streets(spark, sf_dir) -> DataFrame:
+    """Customers as a grid of streets, 25 wide and as long as there are customers."""
+    n = table(spark, sf_dir, "customer").select((F.col("c_custkey") - 1).cast("bigint").alias("u"))
+    to = n.select(F.col("u").alias("v"))
+    right = n.where("u % 25 < 24").select("u", (F.col("u") + 1).alias("v"), (F.col("u") * 2).alias("segment_id"))
+    down = n.select("u", (F.col("u") + 25).alias("v"), (F.col("u") * 2 + 1).alias("segment_id"))
+    return right.unionByName(down).join(to, "v", "left_semi").select("segment_id", "u", "v", (100 + F.col("u") * 7 % 13).cast("double").alias("length_m"))
+
+
 def v_years(spark, sf_dir) -> DataFrame:
     """Orders of each nation and year."""
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
@@ -112,6 +121,9 @@ VIEW_SQL = {
     "v_places": "SELECT c_custkey AS id, CAST(c_custkey * 37 % 1000 AS DOUBLE) AS x, CAST(c_custkey * 91 % 1000 AS DOUBLE) AS y FROM customer",
     "v_lattice": """SELECT CAST(u * 100 + v AS BIGINT) AS segment_id, CAST(u AS BIGINT) AS u, CAST(v AS BIGINT) AS v, CAST(100 + u * 7 % 13 AS DOUBLE) AS length_m FROM (
   SELECT n_nationkey AS u, n_nationkey + 1 AS v FROM nation WHERE n_nationkey % 5 < 4 UNION ALL SELECT n_nationkey, n_nationkey + 5 FROM nation WHERE n_nationkey < 20)""",
+    "v_streets": """SELECT CAST(segment_id AS BIGINT) AS segment_id, CAST(u AS BIGINT) AS u, CAST(v AS BIGINT) AS v, CAST(100 + u * 7 % 13 AS DOUBLE) AS length_m FROM (
+  SELECT c_custkey - 1 AS u, c_custkey AS v, (c_custkey - 1) * 2 AS segment_id FROM customer WHERE (c_custkey - 1) % 25 < 24 UNION ALL SELECT c_custkey - 1, c_custkey + 24, (c_custkey - 1) * 2 + 1 FROM customer)
+  WHERE v IN (SELECT c_custkey - 1 FROM customer)""",
     "v_years": "SELECT CAST(c_nationkey AS INTEGER) AS property, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey",
     "v_events": """SELECT o_orderkey AS event_id, 'venue' || CAST(o_custkey % 4 AS VARCHAR) AS venue,
   CASE o_orderkey % 3 WHEN 0 THEN 'concert' WHEN 1 THEN 'football' ELSE 'cricket' END AS kind,
