@@ -67,3 +67,30 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length('<|im_start|>') + length(head) + 1 + length(escaped) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+#: The base patterns and their conditions, straight from the contract.
+PERSONAL_DATA_COUNTS = r"""
+WITH m AS (
+  SELECT doc_id, regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS email, regexp_extract_all(t, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)') AS ip,
+    list_transform(regexp_extract_all(t, '[0-9]([\x20-]?[0-9])+'), lambda x: regexp_replace(x, '[^0-9]', '', 'g')) AS card,
+    list_transform(regexp_extract_all(t, '\+[0-9][\x20().0-9-]+[0-9]'), lambda x: regexp_replace(x, '[^0-9]', '', 'g')) AS phone
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+)
+SELECT doc_id, CAST(len(email) AS BIGINT) AS n_email,
+  CAST(len(list_filter(ip, lambda x: list_max(list_transform(string_split(x, '.'), lambda y: CAST(y AS DOUBLE))) <= 255)) AS BIGINT) AS n_ip,
+  CAST(len(list_filter(card, lambda x: length(x) BETWEEN 13 AND 19 AND list_sum(list_transform(range(length(x)), lambda i:
+    CASE WHEN i % 2 = 0 THEN CAST(x[length(x) - i] AS INTEGER) ELSE 2 * CAST(x[length(x) - i] AS INTEGER) - CASE WHEN CAST(x[length(x) - i] AS INTEGER) > 4 THEN 9 ELSE 0 END END)) % 10 = 0)) AS BIGINT) AS n_card,
+  CAST(len(list_filter(phone, lambda x: length(x) BETWEEN 9 AND 15)) AS BIGINT) AS n_phone
+FROM m
+"""
+
+JPEG_PAYLOADS = """
+SELECT doc_id, n AS n_bytes, p AS payload_bytes, sha256(t || repeat(' ', p - n)) AS payload_sha256 FROM (
+  SELECT doc_id, t, octet_length(encode(t)) AS n, CAST(greatest(ceil(octet_length(encode(t)) / 192), 1) * 192 AS BIGINT) AS p FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))
+"""
+
+RING_BALANCE = """
+SELECT CAST(s AS INTEGER) AS shard, n AS n_rows, n AS n_slots, n - 1 AS last_slot, total AS total_size FROM (
+  SELECT s, rows // 40 + CASE WHEN s < rows % 40 THEN 1 ELSE 0 END AS n, total FROM range(40) AS t(s), (SELECT count(*) AS rows, CAST(sum(octet_length(encode(coalesce(text, ''))) + 16) AS BIGINT) AS total FROM documents))
+WHERE n > 0
+"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from . import oracles
 from .chat import op10_chat_tokens
 from .decontaminate import op1_string_tiling
@@ -14,9 +16,27 @@ from .pii import op5_personal_data
 from .sharding import op4_bounded_ring
 from .suffix_dedup import op3_repeated_bytes
 
+def personal_data_counts(spark, sf_dir: str):
+    """What SQL can express of op5_personal_data: the base spans of each kind."""
+    return op5_personal_data(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+def jpeg_payloads(spark, sf_dir: str):
+    """What SQL can express of op8_jpeg_columns: the bytes that come back from the stored images."""
+    return op8_jpeg_columns(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
+def ring_balance(spark, sf_dir: str):
+    """What SQL can express of op4_bounded_ring: the rows, slots and sizes of shards, but for which row is where."""
+    dealt = op4_bounded_ring(spark, sf_dir)
+    per = dealt.groupBy("shard").agg(F.count("*").alias("n_rows"), F.count_distinct("slot").alias("n_slots"), F.max("slot").alias("last_slot"))
+    return per.join(F.broadcast(dealt.agg(F.sum("size").alias("total_size"))), F.lit(True))  # one row
+
+
 _ALL = (
     op1_string_tiling, op2_temperature_mixture, op3_repeated_bytes, op4_bounded_ring, op5_personal_data,
     op6_language_centroids, op7_near_duplicates, op8_jpeg_columns, op9_line_winnowing, op10_chat_tokens,
+    personal_data_counts, jpeg_payloads, ring_balance,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -25,4 +45,7 @@ ORACLES = {
     "op7_near_duplicates": oracles.NEAR_DUPLICATES,
     "op9_line_winnowing": OP9_SQL,
     "op10_chat_tokens": oracles.CHAT_TOKENS,
+    "personal_data_counts": oracles.PERSONAL_DATA_COUNTS,
+    "jpeg_payloads": oracles.JPEG_PAYLOADS,
+    "ring_balance": oracles.RING_BALANCE,
 }
