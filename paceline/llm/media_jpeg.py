@@ -12,6 +12,7 @@ features and the reason in `thumbnails`; an empty table gives no rows. Other col
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from dataclasses import dataclass
@@ -24,6 +25,8 @@ from .shared import arrow_map
 from .textarrays import groups
 
 UNIT = 192
+#: What ends entropy-coded bytes: a marker that is no restart.
+_NEXT = re.compile(rb"\xff[\x01-\xcf\xd8-\xfe]")
 #: Bytes that texts use most come first; they get the smallest coefficients.
 _ORDER = bytes(dict.fromkeys(b" etaonihsrdlcumwfgypbvkjxqz.,\n" + bytes(range(256))))
 _BYTE_TO_COEF = np.zeros(256, np.int64)
@@ -114,6 +117,7 @@ class Frame:
     comment: bytes
     tables: tuple
     scan: bytes
+    most: tuple[int, int] = (1, 1)
 
     @property
     def parts(self) -> list[tuple[int, int, int, int, int]]:
@@ -122,7 +126,10 @@ class Frame:
 
     @property
     def grid(self) -> tuple[int, int]:
-        h, v = (1, 1) if len(self.parts) == 1 else (max(p[0] for p in self.parts), max(p[1] for p in self.parts))
+        """MCUs in a row, and rows; in a scan of one component an MCU is one block, and there are as many as its own size needs."""
+        (h, v), (x, y) = self.most, self.parts[0][:2]
+        if len(self.parts) == 1:
+            return -(-(-(-self.width * x // h)) // 8), -(-(-(-self.height * y // v)) // 8)
         return -(-self.width // (8 * h)), -(-self.height // (8 * v))
 
 
@@ -159,20 +166,24 @@ def parse(data: bytes) -> Frame:
         elif 0xC1 <= marker <= 0xCF and marker != 0xC8:
             raise ValueError(f"not baseline: frame {marker:#x}")
         elif marker == 0xDA:
-            break
+            end = _NEXT.search(data, at)
+            if not end:
+                raise ValueError("no end of image")
+            # the scan with the first component, which is luminance; others are passed over
+            if not frame or frame[6] in body[1 : 1 + 2 * body[0] : 2]:
+                break
+            at = end.start()
+        elif marker == 0xD9:
+            raise ValueError("no scan of the first component")
     if not frame or frame[0] != 8:
         raise ValueError("no 8-bit baseline frame")
     height, width = struct.unpack(">HH", frame[1:5])
     if not height or not width:
         raise ValueError("no size")
     kinds = {frame[6 + 3 * i]: (frame[7 + 3 * i] >> 4, frame[7 + 3 * i] & 15, frame[8 + 3 * i]) for i in range(frame[5])}
-    if body[0] != len(kinds):
-        raise ValueError("scans of single components aren't read")
     parts = tuple((*kinds[body[1 + 2 * i]][:2], quant.get(kinds[body[1 + 2 * i]][2], 1), body[2 + 2 * i] >> 4, 16 | body[2 + 2 * i] & 15) for i in range(body[0]))
-    end = data.rfind(b"\xff\xd9")
-    if end < at:
-        raise ValueError("no end of image")
-    return Frame(width, height, interval, comment, (parts, tuple(sorted(huff.items()))), data[at:end])
+    most = max(k[0] for k in kinds.values()), max(k[1] for k in kinds.values())
+    return Frame(width, height, interval, comment, (parts, tuple(sorted(huff.items()))), data[at : end.start()], most)
 
 
 def _lookup(counts: bytes, symbols: bytes) -> np.ndarray:

@@ -316,6 +316,19 @@ def test_ring_by_brute_force():
     assert {(c, k): s for c, a, z, s, _ in plan for k in range(a, z)} == want
 
 
+def test_shard_columns_by_brute_force(spark, sf, docs):
+    import zlib
+
+    got = {r.doc_id: r for r in queries.QUERIES["op4_bounded_ring"](spark, sf).collect()}
+    rows = docs.collect()
+    assert set(got) == {r.doc_id for r in rows}
+    for r in rows:
+        raw, g = (r.text or "").encode(), got[r.doc_id]
+        assert (g.size, g.text_crc32, g.law, g.grown_shard) == (len(raw) + 16, zlib.crc32(raw), "rows", None)
+    for s in range(40):
+        assert sorted(g.slot for g in got.values() if g.shard == s) == list(range(len(rows) // 40 + (s < len(rows) % 40)))
+
+
 def test_hot_key(spark):
     rows = spark.createDataFrame([(1, "same")] * 1000 + [(i, "x") for i in range(2, 50)], "doc_id long, text string")
     got = sharding.deal(rows, 5).groupBy("shard").agg(F.count("*").alias("n"), F.count_distinct("slot").alias("k"), F.max("slot").alias("m")).collect()
@@ -359,6 +372,25 @@ def test_base_spans_of_documents(spark, sf, docs):
     assert seen
 
 
+def test_added_spans_by_brute_force(spark, docs):
+    """Added spans are the candidates over their kind's threshold that meet no base span nor a likelier one, by comparing all with all."""
+    model = pii.fit(docs)
+    texts = [r.text for r in docs.collect() if re.search("[0-9]", r.text)][:60] + ["call 555-123-4567 or (555) 123-4567, card 4111.1111.1111.1111", 'token = "9f86d081884c7d659a2feaa0c55ad015" jim [at] corp dot org']
+    some = 0
+    for t in texts:
+        base = pii.base_spans(t)
+        taken, want = [s for v in base.values() for s in v], []
+        found = [c for c in pii.candidates(t) if not any(c[1] < z and a < c[2] for a, z in taken)]
+        p = model.trees.predict(np.array([pii.features(t, *c) for c in found])) if found else []
+        for q, (k, a, z) in sorted(zip(-np.array(p), found, strict=True), key=lambda x: (x[0], x[1][1], -x[1][2])):
+            if -q >= model.cut[k] and not any(a < y and x < z for _, x, y in want):
+                want.append((k, a, z))
+        got = pii.select(t, base, model)
+        assert sorted(got) == sorted(want)
+        some += len(got)
+    assert some
+
+
 def test_long_texts_take_linear_time():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "a@" * 100_000, "+1" + "(" * 300_000, "1 " * 150_000):
         pii.base_spans(text)
@@ -556,8 +588,8 @@ def test_media_round_trip(payloads):
     assert [p for p, *_ in media_jpeg.unpack(media_jpeg.pack(own))] == own
 
 
-def plain_jpeg(dc, h, v, interval):
-    """A JPEG written bit by bit: one luminance and one chroma component, DC only, all codes four bits."""
+def plain_jpeg(dc, h, v, interval, apart=False):
+    """A JPEG written bit by bit: one luminance and one chroma component, DC only, all codes four bits; in one scan, or chroma first in one of its own."""
     rows, cols = len(dc), len(dc[0])
     out = bytearray(b"\xff\xd8")
 
@@ -570,7 +602,6 @@ def plain_jpeg(dc, h, v, interval):
         segment(0xC4, bytes([kind, 0, 0, 0, 12, *[0] * 12]) + bytes(range(12)))
     if interval:
         segment(0xDD, interval.to_bytes(2, "big"))
-    segment(0xDA, b"\x02\x01\x00\x02\x00\x00\x3f\x00")
     bits, last, n = "", 0, 0
 
     def flush():
@@ -584,6 +615,17 @@ def plain_jpeg(dc, h, v, interval):
         size = abs(diff).bit_length()
         bits += f"{size:04b}" + (f"{diff if diff > 0 else diff + (1 << size) - 1:0{size}b}" if size else "") + "0000"
 
+    if apart:
+        segment(0xDA, b"\x01\x02\x00\x00\x3f\x00")
+        for k in range(-(-rows // v) * -(-cols // h)):
+            if interval and k and k % interval == 0:
+                flush()
+                out.extend(bytes([0xFF, 0xD0 + (k // interval - 1) % 8]))
+            block(0)
+        flush()
+    segment(0xDA, b"\x01\x01\x00\x00\x3f\x00" if apart else b"\x02\x01\x00\x02\x00\x00\x3f\x00")
+    if apart:
+        h = v = 1
     for y in range(0, rows, v):
         for x in range(0, cols, h):
             if interval and n and n % interval == 0:
@@ -594,22 +636,42 @@ def plain_jpeg(dc, h, v, interval):
                 for i in range(h):
                     block(dc[y + j][x + i] - last)
                     last = dc[y + j][x + i]
-            block(0)
+            if not apart:
+                block(0)
             n += 1
     flush()
     return bytes(out) + b"\xff\xd9"
 
 
+@pytest.mark.parametrize("apart", [False, True])
 @pytest.mark.parametrize(("h", "v", "interval"), [(1, 1, 0), (2, 2, 0), (2, 1, 2), (1, 2, 1)])
-def test_thumbnails_of_other_encoders(h, v, interval):
+def test_thumbnails_of_other_encoders(h, v, interval, apart):
     rng = random.Random(h * 10 + v)
     dc = [[rng.randint(-200, 200) for _ in range(6)] for _ in range(4)]
-    f = media_jpeg.parse(plain_jpeg(dc, h, v, interval))
+    f = media_jpeg.parse(plain_jpeg(dc, h, v, interval, apart))
     grey = media_jpeg.thumbnail(f, media_jpeg.decode([f])[0])
     assert (f.width, f.height) == (48, 32)
     assert grey.tolist() == [[max(0, min(255, (x * 4 + 4) // 8 + 128)) for x in row] for row in dc]
 
 
+def test_media_columns_by_brute_force(spark, sf, docs):
+    """Every column of the query from the text and the stored form, image by image; equal texts have equal values."""
+    import zlib
+
+    got, seen = {r.doc_id: r for r in queries.QUERIES["op8_jpeg_columns"](spark, sf).collect()}, {}
+    rows = docs.collect()
+    assert set(got) == {r.doc_id for r in rows}
+    for r in rows:
+        raw, g = (r.text or "").encode(), got[r.doc_id]
+        own = raw + b" " * (max(-(-len(raw) // 192), 1) * 192 - len(raw))
+        media = media_jpeg.pack([own])[0]
+        frame = media_jpeg.parse(media)
+        grey = media_jpeg.thumbnail(frame, media_jpeg.decode([frame])[0])
+        assert (g.n_bytes, g.payload_bytes, g.payload_sha256, g.tail_crc32) == (len(raw), len(own), hashlib.sha256(own).hexdigest(), zlib.crc32(own[-16:]))
+        assert (g.media_bytes, g.media_sha256, g.feature) == (len(media), hashlib.sha256(media).hexdigest(), media_jpeg.feature(frame, grey))
+        assert seen.setdefault(own, g.media_sha256) == g.media_sha256
+
+
 def test_progressive_is_refused():
     data = media_jpeg.pack([b" " * 192])[0].replace(b"\xff\xc0", b"\xff\xc2")
     with pytest.raises(ValueError, match="not baseline"):
