@@ -91,6 +91,13 @@ def tiles(spark, xmin: float, ymin: float, width: int, height: int, res: float,
     return grid.select("x_off", "y_off", w.alias("width"), h.alias("height"), (xmin + F.col("x_off") * res).alias("x"), (ymin + F.col("y_off") * res).alias("y"))
 
 
+def mosaic(cells: DataFrame, tiles: DataFrame) -> DataFrame:
+    """One raster (row, col, value) of tiles' cells (tile, row, col, value), laid at their offsets (tile, x_off, y_off); where tiles overlap, the first with a value counts."""
+    laid = cells.where("value is not null").join(tiles.select("tile", "x_off", "y_off"), "tile")
+    place = laid.select((F.col("row") + F.col("y_off")).alias("row"), (F.col("col") + F.col("x_off")).alias("col"), F.struct("tile", "value").alias("held"))
+    return place.groupBy("row", "col").agg(F.min("held").alias("held")).select("row", "col", "held.value")
+
+
 def new_openings(jumps: DataFrame, sites: DataFrame, sensors: DataFrame, radius: float) -> DataFrame:
     """Sites with the sensors in reach, nearest first."""
     met = within(sites, sensors, radius, "property", "sensor")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry, opening_hours
-from ..operators import boosting, graph, metrics, models, openings, segments, spatial, splits
+from ..operators import boosting, connections, graph, metrics, models, openings, segments, spatial, splits
 from ..sources import files
 from .views import sql, table, v_hourly, v_lattice, v_places, v_scored, v_sites, v_streets, v_years
 
@@ -117,6 +117,17 @@ def raster_tiles(spark, sf):
     return spatial.tiles(spark, 50.0, 80.0, 1000, 700, 0.5, 400)
 
 
+@query(
+    """SELECT CAST(r + y AS BIGINT) AS row, CAST(c + x AS BIGINT) AS col, first(v ORDER BY tile) AS value FROM (SELECT l_linenumber AS tile, l_orderkey % 60 AS r, l_partkey % 60 AS c, min(l_quantity) AS v FROM lineitem GROUP BY 1, 2, 3)
+  JOIN (SELECT t, (t - 1) % 3 * 40 AS x, (t - 1) // 3 * 40 AS y FROM range(1, 8) AS s(t)) ON t = tile GROUP BY 1, 2"""
+)
+def raster_mosaic(spark, sf):
+    """Lines as overlapping tiles of 60 by 60, each 40 apart."""
+    cells = table(spark, sf, "lineitem").groupBy(F.col("l_linenumber").alias("tile"), (F.col("l_orderkey") % 60).alias("row"), (F.col("l_partkey") % 60).alias("col")).agg(F.min("l_quantity").alias("value"))
+    offsets = spark.createDataFrame([(t, (t - 1) % 3 * 40, (t - 1) // 3 * 40) for t in range(1, 8)], "tile int, x_off long, y_off long")
+    return spatial.mosaic(cells, offsets)
+
+
 _RASTER = {"raster": "SELECT r AS row, c AS col, CAST((r * 7 + c * 3) % 11 AS DOUBLE) AS value FROM range(25) AS a(r), range(25) AS b(c) WHERE (r + c) % 9 <> 0"}
 
 
@@ -267,6 +278,31 @@ def split_ways(spark, sf):
     return segments.split_ways(ways).select("segment_id", "way_id", "u", "v", F.size("node_ids").cast("bigint").alias("n_nodes"))
 
 
+_GRAPH = {
+    "w": "SELECT l_orderkey AS way_id, list(l_partkey ORDER BY l_linenumber, l_partkey) AS nodes FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1 HAVING count(*) > 1",
+    "f": "SELECT way_id, unnest(range(len(nodes))) AS pos, unnest(nodes) AS node, len(nodes) - 1 AS last FROM w",
+    "n": "SELECT *, CAST(sum(cut::INT) OVER (PARTITION BY way_id ORDER BY pos) AS BIGINT) AS k FROM (SELECT *, pos > 0 AND pos < last AND count(*) OVER (PARTITION BY node) > 1 AS cut FROM f)",
+    "s": "SELECT way_id, pos, k, node, CAST(node * 37 % 1000 AS DOUBLE) AS x, CAST(node * 91 % 1000 AS DOUBLE) AS y FROM (SELECT way_id, pos, node, k FROM n UNION ALL SELECT way_id, pos, node, k - 1 FROM n WHERE cut)",
+    "d": "SELECT *, sqrt((x - lag(x) OVER g) ** 2 + (y - lag(y) OVER g) ** 2) AS step FROM s WINDOW g AS (PARTITION BY way_id, k ORDER BY pos)",
+}
+
+
+@query(
+    """SELECT CAST(way_id AS VARCHAR) || '-' || CAST(k AS VARCHAR) AS segment_id, first(node ORDER BY pos) AS u, last(node ORDER BY pos) AS v, round(sum(step), 6) AS length_m,
+  round((degrees(atan2(last(x ORDER BY pos) - first(x ORDER BY pos), last(y ORDER BY pos) - first(y ORDER BY pos))) + 360) % 180, 6) AS bearing_deg, way_id % 3 = 0 AS is_steps, way_id % 4 = 0 AS is_crossing,
+  CASE WHEN way_id % 5 = 0 THEN 'separate' END AS sidewalk_state, way_id % 5 <> 0 AS in_metric_graph FROM d GROUP BY way_id, k HAVING count(*) > 1""",
+    **_GRAPH,
+)
+def street_graph(spark, sf):
+    """Orders as ways along the parts of their first three lines; the components have a query of their own."""
+    ways = _ways(table(spark, sf, "lineitem").where("l_linenumber <= 3"))
+    k = F.col("way_id")
+    tags = F.map_filter(F.create_map(F.lit("highway"), F.when(k % 3 == 0, "steps").otherwise("footway"), F.lit("footway"), F.when(k % 4 == 0, "crossing"), F.lit("sidewalk"), F.when(k % 5 == 0, "separate")), lambda _, v: v.isNotNull())
+    nodes = table(spark, sf, "part").select(F.col("p_partkey").alias("node_id"), (F.col("p_partkey") * 37 % 1000).cast("double").alias("x"), (F.col("p_partkey") * 91 % 1000).cast("double").alias("y"))
+    out = connections.build_graph(ways.withColumn("tags", tags), nodes)
+    return _r6(out.select("segment_id", "u", "v", "length_m", "bearing_deg", "is_steps", "is_crossing", "sidewalk_state", "in_metric_graph"))
+
+
 _TAGS = [
     (1, {"highway": "footway"}), (2, {"highway": "cycleway"}), (3, {"highway": "cycleway", "foot": "designated"}), (4, {"highway": "motorway"}), (5, {"highway": "residential", "access": "private"}),
     (6, {"highway": "residential", "access": "private", "foot": "yes"}), (7, {"highway": "pedestrian", "area": "yes"}), (8, {"name": "x"}), (9, {"highway": "service", "service": "private", "foot": "yes"}),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from paceline import schema
 from paceline.functions import clock, geometry, opening_hours, sun
-from paceline.operators import boosting, calendar, checks, cleaning, drift, events, frame, graph, islands, metrics, minutes, models, representation, routes, segments, slices, spatial, splits, surroundings
+from paceline.operators import boosting, calendar, checks, cleaning, connections, drift, events, frame, graph, islands, metrics, minutes, models, representation, routes, segments, slices, spatial, splits, surroundings
 from paceline.plans import network_queries
 
 ZONE = "Australia/Melbourne"
@@ -532,3 +532,18 @@ def test_out_of_fold_models_have_not_seen_their_rows(counted):
     both = boosting.oof_intervals(counted.where("fold in (0, 1)"), "fold", "y", ["x", "z"], settings=s)
     assert both.where("lower > predicted or predicted > upper").count() == 0
     assert 0.6 < both.agg(F.avg(F.col("y").between(F.col("lower"), F.col("upper")).cast("int"))).first()[0] <= 1
+
+
+def test_graph_of_ways(spark):
+    """Cut at a node that two ways share; an added segment joins the rest; features follow from it."""
+    ways = spark.createDataFrame([(1, [1, 2, 3], {"highway": "residential", "sidewalk": "separate"}), (2, [4, 2], {"highway": "steps"}), (3, [8, 9], {"highway": "footway"})], "way_id long, node_ids array<long>, tags map<string, string>")
+    nodes = spark.createDataFrame([(1, 0.0, 0.0), (2, 30.0, 40.0), (3, 30.0, 50.0), (4, 0.0, 40.0), (8, 900.0, 0.0), (9, 900.0, 7.0)], "node_id long, x double, y double")
+    added = spark.createDataFrame([("d-1", 3, 8, [(30.0, 50.0), (900.0, 0.0)], True)], "segment_id string, u long, v long, line array<struct<x: double, y: double>>, is_detected boolean")
+    got = {r.segment_id: r for r in connections.build_graph(ways, nodes).collect()}
+    assert {k: (r.u, r.v, r.length_m, r.in_metric_graph, r.is_steps, r.component) for k, r in got.items()} == {
+        "1-0": (1, 2, 50.0, False, False, 1), "1-1": (2, 3, 10.0, False, False, 1), "2-0": (4, 2, 30.0, True, True, 1), "3-0": (8, 9, 7.0, True, False, 8),
+    }
+    joined = connections.build_graph(ways, nodes, added)
+    assert {r.component for r in joined.collect()} == {1}
+    features = {r.segment_id: r for r in segments.tag_features(joined).collect()}
+    assert (features["d-1"].is_detected, features["d-1"].hw_other, features["1-0"].sidewalk_separate, features["2-0"].hw_steps) == (True, True, True, True)
