@@ -89,8 +89,6 @@ SELECT doc_id, n AS n_bytes, p AS payload_bytes, sha256(t || repeat(' ', p - n))
   SELECT doc_id, t, octet_length(encode(t)) AS n, CAST(greatest(ceil(octet_length(encode(t)) / 192), 1) * 192 AS BIGINT) AS p FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))
 """
 
-RING_BALANCE = """
-SELECT CAST(s AS INTEGER) AS shard, n AS n_rows, n AS n_slots, n - 1 AS last_slot, total AS total_size FROM (
-  SELECT s, rows // 40 + CASE WHEN s < rows % 40 THEN 1 ELSE 0 END AS n, total FROM range(40) AS t(s), (SELECT count(*) AS rows, CAST(sum(octet_length(encode(coalesce(text, ''))) + 16) AS BIGINT) AS total FROM documents))
-WHERE n > 0
+RING_SLOTS = """
+SELECT CAST(s AS INTEGER) AS shard, unnest(range(rows // 40 + CASE WHEN s < rows % 40 THEN 1 ELSE 0 END)) AS slot, 'rows' AS law FROM range(40) AS t(s), (SELECT count(*) AS rows FROM documents)
 """

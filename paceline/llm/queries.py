@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from . import oracles
 from .chat import op10_chat_tokens
 from .decontaminate import op1_string_tiling
@@ -26,17 +24,15 @@ def jpeg_payloads(spark, sf_dir: str):
     return op8_jpeg_columns(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
 
 
-def ring_balance(spark, sf_dir: str):
-    """What SQL can express of op4_bounded_ring: the rows, slots and sizes of shards, but for which row is where."""
-    dealt = op4_bounded_ring(spark, sf_dir)
-    per = dealt.groupBy("shard").agg(F.count("*").alias("n_rows"), F.count_distinct("slot").alias("n_slots"), F.max("slot").alias("last_slot"))
-    return per.join(F.broadcast(dealt.agg(F.sum("size").alias("total_size"))), F.lit(True))  # one row
+def ring_slots(spark, sf_dir: str):
+    """What SQL can express of op4_bounded_ring: the slots of each shard, but not which row is where."""
+    return op4_bounded_ring(spark, sf_dir).select("shard", "slot", "law")
 
 
 _ALL = (
     op1_string_tiling, op2_temperature_mixture, op3_repeated_bytes, op4_bounded_ring, op5_personal_data,
     op6_language_centroids, op7_near_duplicates, op8_jpeg_columns, op9_line_winnowing, op10_chat_tokens,
-    personal_data_counts, jpeg_payloads, ring_balance,
+    personal_data_counts, jpeg_payloads, ring_slots,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -47,5 +43,5 @@ ORACLES = {
     "op10_chat_tokens": oracles.CHAT_TOKENS,
     "personal_data_counts": oracles.PERSONAL_DATA_COUNTS,
     "jpeg_payloads": oracles.JPEG_PAYLOADS,
-    "ring_balance": oracles.RING_BALANCE,
+    "ring_slots": oracles.RING_SLOTS,
 }
