@@ -344,24 +344,14 @@ def archive_reconcile(spark, sf):
     return minutes.reconcile(m, h.withColumn("pedestriancount", F.col("pedestriancount") + F.when(F.col("location_id") == 2, 3).otherwise(0)))
 
 
-@query(
-    """SELECT CAST(l AS DATE) AS day, strftime(max(l), '%H:%M') AS last_local FROM (SELECT timezone('Australia/Melbourne', timezone('UTC', sensing_datetime)) AS l FROM m WHERE location_id = 1)
-WHERE CAST(l AS DATE) < DATE '2024-01-28' GROUP BY 1 HAVING strftime(max(l), '%H:%M') < '23:00'""",
-    **_M,
-)
-def late_polls(spark, sf):
-    m, _ = _minutes(spark, sf)
-    return minutes.late_days(m.where("location_id = 1"), F.to_date(F.lit("2024-01-28")), ZONE)
-
-
 @query(
     """SELECT CAST(l AS DATE) AS day, strftime(max(l), '%H:%M') AS last_local FROM (
   SELECT CASE WHEN day(l) % 4 = 0 AND hour(l) >= 20 THEN l - INTERVAL 5 HOUR ELSE l END AS l FROM (SELECT timezone('Australia/Melbourne', timezone('UTC', sensing_datetime)) AS l FROM m))
 WHERE CAST(l AS DATE) < DATE '2024-01-28' GROUP BY 1 HAVING strftime(max(l), '%H:%M') < '23:00'""",
     **_M,
 )
-def late_polls_of_all(spark, sf):
-    """As late_polls, of every sensor; the evenings of some days are moved back, so that these end early."""
+def late_polls(spark, sf):
+    """Of every sensor; the evenings of some days are moved back, so that these end early."""
     m, _ = _minutes(spark, sf)
     local = clock.to_local(F.col("sensing_datetime"), ZONE)
     early = F.timestamp_add("HOUR", F.lit(-5), "sensing_datetime")
