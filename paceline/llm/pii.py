@@ -20,6 +20,8 @@ import random
 import re
 from bisect import bisect_right
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import add
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -282,9 +284,11 @@ def find(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
 def op5_personal_data(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = find(docs, fit(docs))
+    n_added = F.size(F.filter(F.split("added", ","), lambda x: x != "")).cast("long")
     return found.select(
         "doc_id", *[f"n_{k}" for k in KINDS], F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
-        joined(F.col("base"), F.col("added")).alias("spans"), F.size(F.filter(F.split("added", ","), lambda x: x != "")).cast("long").alias("n_added"), F.sha2(F.col("redacted").cast("binary"), 256).alias("redacted_sha256"),
+        joined(F.col("base"), F.col("added")).alias("spans"), n_added.alias("n_added"),
+        (reduce(add, [F.col(f"n_{k}") for k in KINDS]) + n_added).alias("n_spans"), F.sha2(F.col("redacted").cast("binary"), 256).alias("redacted_sha256"),
     )
 
 
