@@ -119,19 +119,31 @@ def shade_table(spark, sf):
     return _r6(surroundings.shade_table(_streets(spark, sf), _buildings(spark, sf), suns))
 
 
-@query(
-    """SELECT s.id AS sensor, n.section, CASE WHEN n.section IS NOT NULL THEN n.slope_pct END AS slope_pct, round(m.v, 6) AS slope_pct_local_mean, coalesce(m.n, 0) AS n_local_sections, CASE WHEN n.section IS NOT NULL THEN 'section' ELSE 'none' END AS place_source
+_STEEP = {
+    "sections": "SELECT id, x, y, CASE WHEN id % 4 <> 0 THEN CAST(id % 9 AS DOUBLE) END AS slope_pct, CAST(id % 17 AS DOUBLE) AS length_m FROM v_places",
+    "near": "SELECT s.id AS sensor, p.id AS section, slope_pct, length_m, sqrt((s.x - p.x) ** 2 + (s.y - p.y) ** 2) AS dist FROM v_sites s JOIN sections p ON slope_pct IS NOT NULL AND length_m >= 5",
+    "steep": """SELECT s.id AS sensor, n.section, CASE WHEN n.section IS NOT NULL THEN n.slope_pct END AS slope_pct, round(m.v, 6) AS slope_pct_local_mean, coalesce(m.n, 0) AS n_local_sections, CASE WHEN n.section IS NOT NULL THEN 'section' ELSE 'none' END AS place_source
 FROM v_sites s LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY sensor ORDER BY dist, section) AS r FROM near WHERE dist <= 25) n ON n.sensor = s.id AND n.r = 1
 LEFT JOIN (SELECT sensor, sum(slope_pct * length_m) / sum(length_m) AS v, count(*) AS n FROM near WHERE dist <= 60 GROUP BY 1) m ON m.sensor = s.id""",
-    sections="SELECT id, x, y, CASE WHEN id % 4 <> 0 THEN CAST(id % 9 AS DOUBLE) END AS slope_pct, CAST(id % 17 AS DOUBLE) AS length_m FROM v_places",
-    near="SELECT s.id AS sensor, p.id AS section, slope_pct, length_m, sqrt((s.x - p.x) ** 2 + (s.y - p.y) ** 2) AS dist FROM v_sites s JOIN sections p ON slope_pct IS NOT NULL AND length_m >= 5",
-)
+}
+
+
+@query("SELECT * FROM steep", **_STEEP)
 def sensor_steepness(spark, sf):
     sections = v_places(spark, sf).withColumns({"slope_pct": F.when(F.col("id") % 4 != 0, (F.col("id") % 9).cast("double")), "length_m": (F.col("id") % 17).cast("double")})
     return _r6(surroundings.local_steepness(v_sites(spark, sf), sections, 25.0, 60.0))
 
 
-@query(None)
+def _height(name: str, dx: int, dy: int) -> str:
+    return f"LEFT JOIN raster {name} ON {name}.row = floor((y + {dy}) / 40) AND {name}.col = floor((x + {dx}) / 40)"
+
+
+@query(
+    f"""SELECT sensor, section, round(coalesce(slope_pct, dem), 6) AS slope_pct, slope_pct_local_mean, n_local_sections, CASE WHEN slope_pct IS NULL AND dem IS NOT NULL THEN 'dem' ELSE place_source END AS place_source, elevation_m FROM steep LEFT JOIN (
+  SELECT id, c.value AS elevation_m, 100 * sqrt(((e.value - w.value) / 80) ** 2 + ((n.value - s.value) / 80) ** 2) AS dem FROM v_sites {_height("c", 0, 0)} {_height("e", 40, 0)} {_height("w", -40, 0)} {_height("n", 0, 40)} {_height("s", 0, -40)}
+  WHERE id IN (SELECT sensor FROM steep WHERE slope_pct IS NULL)) t ON t.id = sensor""",
+    **_STEEP, **_RASTER,
+)
 def sensor_terrain(spark, sf):
     """sensor_steepness with the terrain where no section is near; the raster of heights has gaps."""
     return _r6(surroundings.fill_from_dem(sensor_steepness(spark, sf), v_sites(spark, sf), _raster(spark), 40.0, 40.0))

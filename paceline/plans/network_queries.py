@@ -63,7 +63,16 @@ def match_sensors(spark, sf):
     return _r6(segments.match_sensors(_cands(spark, sf), v_sites(spark, sf).select(F.col("id").alias("sensor")), overrides))
 
 
-@query(None)
+@query(
+    """SELECT sensor, segment, round(dist, 6) AS dist, round(gap, 6) AS runner_up_gap, method, agrees AS bearing_agrees, reasons AS review_reasons, reasons <> '' AND method <> 'override' AS needs_review FROM (
+  SELECT *, concat_ws('; ', CASE WHEN method = 'none' THEN 'no segment' END, CASE WHEN method = 'nearest' AND dist > 15 THEN 'far' END, CASE WHEN gap <= 3 THEN 'close runner-up' END,
+    CASE WHEN method = 'nearest' AND segment % 3 = 0 THEN 'road centreline' END, CASE WHEN NOT agrees THEN 'bearing disagrees' END, CASE WHEN sensor % 11 = 0 THEN 'indoor sensor' END) AS reasons FROM (
+    SELECT m.*, k.dist, CASE WHEN method = 'nearest' AND m.sensor % 5 <> 0 THEN least(abs(m.segment * 17 % 180 - m.sensor * 29 % 180), 180 - abs(m.segment * 17 % 180 - m.sensor * 29 % 180)) <= 30 END AS agrees FROM (
+      SELECT s.id AS sensor, coalesce(o.segment, a.segment) AS segment, CASE WHEN o.segment IS NOT NULL THEN 'override' WHEN a.segment IS NOT NULL THEN 'nearest' ELSE 'none' END AS method, CASE WHEN o.segment IS NULL THEN b.score - a.score END AS gap
+      FROM v_sites s LEFT JOIN (SELECT * FROM k WHERE r = 1) a ON a.sensor = s.id LEFT JOIN (SELECT * FROM k WHERE r = 2) b ON b.sensor = s.id LEFT JOIN (VALUES (7, 1), (9, 2)) AS o(sensor, segment) ON o.sensor = s.id
+    ) m LEFT JOIN k ON k.sensor = m.sensor AND k.segment = m.segment))""",
+    **_CAND,
+)
 def reviewed_matches(spark, sf):
     """match_sensors with made-up classes, axes and location types, and every reason for a review."""
     overrides = spark.createDataFrame([(7, 1), (9, 2)], "sensor long, segment long")
