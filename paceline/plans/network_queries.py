@@ -485,7 +485,17 @@ def _hours(spark, sf):
     return v.withColumn("hour_of_week", (F.weekday("ts_utc") * 24 + F.hour("ts_utc")).cast("int"))
 
 
-@query(None)
+@query(
+    """SELECT h.location_id, ts_utc, pedestriancount, round(greatest(exp(coalesce(u.usual, (SELECT avg(ln(1 + pedestriancount)) FROM h WHERE location_id < 6)) + m + b * (x - mu) / sd) - 1, 0), 6) AS predicted
+FROM h LEFT JOIN usual u ON u.hour_of_week = h.hour_of_week JOIN sensor s ON s.id = h.location_id, best""",
+    h="SELECT *, (isodow(ts_utc) - 1) * 24 + hour(ts_utc) AS hour_of_week FROM v_hourly",
+    sensor="SELECT id, ln(1 + id * 3 % 5) AS x FROM range(8) AS t(id)",
+    usual="SELECT hour_of_week, avg(ln(1 + pedestriancount)) AS usual FROM h WHERE location_id < 6 GROUP BY 1",
+    lefts="SELECT location_id, avg(ln(1 + pedestriancount) - usual) AS t, any_value(x) AS x FROM h JOIN usual USING (hour_of_week) JOIN sensor ON id = location_id WHERE location_id < 6 GROUP BY 1",
+    scaled="SELECT t, (x - mu) / sd AS z, mu, sd, m, n FROM lefts, (SELECT avg(x) AS mu, CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) ELSE 1 END AS sd, avg(t) AS m, count(*) AS n FROM lefts)",
+    fits="SELECT a, alpha, sum(z * t) / (sum(z * z) + alpha) AS b, sum(z * z) + alpha AS q FROM scaled, (SELECT a, power(10, -3 + a * 0.5) AS alpha FROM range(13) AS r(a)) GROUP BY 1, 2",
+    best="SELECT b, any_value(m) AS m, any_value(mu) AS mu, any_value(sd) AS sd, avg(((t - m - b * z) / greatest(1 - 1 / n - z * z / q, 1e-9)) ** 2) AS loo FROM scaled, fits GROUP BY a, b ORDER BY loo, a LIMIT 1",
+)
 def baseline_predictions(spark, sf):
     sensors = spark.range(8).select(F.col("id").cast("int").alias("location_id"), (F.col("id") * 3 % 5).cast("double").alias("reach"))
     rows = _hours(spark, sf)
