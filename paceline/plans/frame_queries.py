@@ -197,7 +197,7 @@ def cut_edges(spark, sf):
     return _r6(connections.cut_edges(edges, connections.entrance_links(doors, nodes, edges)))
 
 
-@query(None)
+@query("SELECT * FROM (VALUES ('xing-110-111', 110::BIGINT, 111::BIGINT, 12.0::DOUBLE, true), ('xing-150-151', 150, 151, 12.0, true)) AS t(segment_id, u, v, length_m, is_inferred)")
 def inferred_crossings(spark, sf):
     """Five roads alike; at 11 a crossing is mapped, at 12 only two edges meet, at 13 a short walk joins the sidewalks, at 14 a long one."""
     road = spark.createDataFrame([(k + 1, 10 + k, 300.0 * k, 0.0, 300.0 * k + 100, 0.0) for k in range(5)], "road long, junction long, jx double, jy double, nx double, ny double")
