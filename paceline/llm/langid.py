@@ -173,12 +173,12 @@ def _floors(texts: list[bytes], of: np.ndarray, idf: np.ndarray, c: np.ndarray,
 
 
 def fit(docs: DataFrame, learn: Column, settings: Settings = Settings(), text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
-    """Learn from rows where `learn` holds and text and lang are not null: a sample of each language, picked by a hash of the key.
+    """Learn from rows where `learn` holds and text and lang are not null: a sample of each language, picked by a hash of key and text.
 
     Two thirds make the centroids, one third the floors.
     """
     s = settings
-    held = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key).cast("string")).alias("h"))
+    held = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("h"))
     n = {r[0]: r[1] for r in held.groupBy("lang").count().limit(s.most_languages + 1).collect()}
     if len(n) > s.most_languages:
         raise ValueError(f"more than {s.most_languages} languages")

@@ -181,10 +181,11 @@ class Model:
 
 @dataclass(frozen=True)
 class Settings:
-    """`sample` rows and `sample_chars` of each bound what is drawn; `planted` values of each kind, and as many look-alikes, are planted."""
+    """`sample` rows, `sample_chars` of each and `sample_spans` base spans of a kind in a row bound what is drawn; `planted` values of each kind, and as many look-alikes, are planted."""
 
     sample: int = 1000
     sample_chars: int = 1 << 14
+    sample_spans: int = 4
     planted: int = 300
     precision: float = 0.98
     seed: int = 5
@@ -210,7 +211,7 @@ def examples(texts: list[str], s: Settings) -> list[tuple[str, list[float], bool
             add(f"{t[max(0, at - 80) : max(at, 0)]} {lead}", value, ('"' if lead.endswith('"') else "") + t[max(at, 0) : at + 80], kind, real)
     for t in texts:
         for kind, spans in base_spans(t).items():
-            for a, b in spans[:4]:
+            for a, b in spans[: s.sample_spans]:
                 bare = _bare(kind, t[a:b], rng)
                 if bare:
                     add(t[max(0, a - 80) : a], bare, t[b : b + 80], kind, True)
@@ -218,8 +219,8 @@ def examples(texts: list[str], s: Settings) -> list[tuple[str, list[float], bool
 
 
 def fit(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> Model:
-    """Fit on values planted into at most `sample` rows, picked by a hash of the key, and on those rows' base spans."""
-    own = docs.select(F.xxhash64(F.col(key).cast("string")).alias("h"), F.substring(F.col(text), 1, settings.sample_chars).alias("text")).where(F.col("text").rlike("[0-9@]"))
+    """Fit on values planted into at most `sample` rows, picked by a hash of key and text, and on those rows' base spans."""
+    own = docs.select(F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("h"), F.substring(F.col(text), 1, settings.sample_chars).alias("text")).where(F.col("text").rlike("[0-9@]"))
     n = own.count()
     share = min(1_000_000, int(0.8e6 * settings.sample / max(n, 1)) + 1)
     rows = sorted((r.h, r.text) for r in own.where(F.pmod("h", F.lit(1_000_000)) < share).limit(settings.sample).collect())
