@@ -463,9 +463,10 @@ def leak_safe_fold(spark, sf):
     return splits.fold_rows(rows, folds, near, "location_id", 2).select("row_id", "part")
 
 
-@query("SELECT l AS location_id, coalesce(g, (SELECT max(id % 4) FROM v_sites WHERE id <= 20) + 1 + l)::INTEGER AS \"group\" FROM (SELECT DISTINCT location_id AS l FROM v_scored) LEFT JOIN (SELECT id, id % 4 AS g FROM v_sites WHERE id <= 20) ON id = l")
+@query("SELECT l AS location_id, coalesce(g, (SELECT max(id % 4) FROM v_sites WHERE id % 3 <> 0) + 1 + l)::INTEGER AS \"group\" FROM (SELECT DISTINCT location_id AS l FROM v_scored) LEFT JOIN (SELECT id, id % 4 AS g FROM v_sites WHERE id % 3 <> 0) ON id = l")
 def spatial_groups(spark, sf):
-    groups = v_sites(spark, sf).where("id <= 20").select(F.col("id").cast("int").alias("location_id"), (F.col("id") % 4).cast("int").alias("group"))
+    """Every sensor; those that the list of groups has not got get groups of their own."""
+    groups = v_sites(spark, sf).where("id % 3 <> 0").select(F.col("id").cast("int").alias("location_id"), (F.col("id") % 4).cast("int").alias("group"))
     return splits.spatial_groups(v_scored(spark, sf).select("location_id").distinct(), groups, "location_id")
 
 
