@@ -167,7 +167,7 @@ def _floors(texts: list[bytes], of: np.ndarray, idf: np.ndarray, c: np.ndarray,
         if several:
             junk = np.concatenate([junk, np.where(np.array(lang)[:, None] == which[None, :], 0, cos).max(1)])
         low, high = np.quantile(junk, 0.99), np.quantile(own, s.wrongly)
-        floor = min((low + high) / 2, 0.85 * high)
+        floor = min(low, 0.85 * high)  # what junk reaches, but never near what real pieces have
         out.append((floor, (own >= floor).mean(), (junk < floor).mean()))
     return np.array(out)
 
