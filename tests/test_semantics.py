@@ -583,3 +583,29 @@ def test_shade_of_copied_buildings(spark, sf, tmp_path):
     got, m = _most_rows(registry.QUERIES["shade_table"](spark, _copied(spark, sf, tmp_path, 20)))
     assert sorted(map(tuple, got)) == sorted(map(tuple, once))
     assert m <= max(n, 20 * 150)
+
+
+@pytest.mark.parametrize(("n", "side", "radius"), [(60, 40, 7.0), (60, 12, 5.0), (40, 5, 0.0), (200, 1000, 200.0)])
+def test_linkage_by_brute_force(n, side, radius):
+    """On a matrix of all distances, ties to the first pair; points on a grid, so that many tie."""
+    xy = np.random.default_rng(n + side).integers(0, side, (n, 2)).astype(float)
+    d, name = np.sqrt(((xy[:, None] - xy[None]) ** 2).sum(-1)), np.arange(n)
+    np.fill_diagonal(d, np.inf)
+    while d.min() <= radius:
+        i, j = sorted(divmod(int(d.argmin()), n))
+        d[i] = d[:, i] = np.maximum(d[i], d[j])
+        d[j] = d[:, j] = d[i, i] = np.inf
+        name[name == j] = i
+    assert splits.complete_linkage(xy, radius).tolist() == np.unique(name, return_inverse=True)[1].tolist()
+
+
+def test_splits_of_many_sensors(spark):
+    """More sensors than a matrix of distances could hold, at few spots and at many; unknown places are near nothing."""
+    few = spark.range(12_000).select("id", (F.col("id") % 10 * 1000).cast("double").alias("x"), F.lit(0.0).alias("y"))
+    got = splits.splits(few, {"north": [3]}, 3).groupBy("group", "fold", "holdout").count().collect()
+    assert {(r.fold, r.holdout, r["count"]) for r in got if r.group == 3} == {(-1, "north", 1), (-1, "neighbour", 1199)}
+    assert sorted(sum(r["count"] for r in got if r.fold == k) for k in range(3)) == [3600] * 3
+    many = spark.range(6_000).select("id", (F.col("id") * 150).cast("double").alias("x"), F.when(F.col("id") > 3, 0.0).alias("y"))
+    got = splits.splits(many, {}, 3).collect()
+    assert len(got) == 6_000
+    assert len({r.group for r in got}) == 4 + 2998
