@@ -633,7 +633,7 @@ def tangle(spark):
     return spark.createDataFrame([*rows, (9, 77, 77, 5.0)], "segment_id long, u long, v long, length_m double")
 
 
-@pytest.mark.parametrize("name", ["amenities_in_reach", "edge_betweenness", "network_distance", "reach_within", "segments_in_reach"])
+@pytest.mark.parametrize("name", ["amenities_in_reach", "edge_betweenness", "network_distance", "reach_within", "segments_in_reach", "weighted_reach"])
 def test_searches_hold_no_whole_network(name, spark, sf, monkeypatch):
     from paceline.plans import registry
 
